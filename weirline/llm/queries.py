@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .bpe import op7_byte_bpe
 from .chat_format import OP1_SQL, op1_chat_format
 from .exact_dedup import OP2_SQL, op2_exact_dedup
@@ -24,6 +26,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_media": op9_media,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: The others are held against brute force in tests/llm.

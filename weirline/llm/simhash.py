@@ -37,6 +37,16 @@ FANOUT = 32
 CHUNK = 1 << 15
 
 
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set, highest bit first.
+
+    Bits are bytes here, eight to a machine word, and 255 of those are added before a byte can overflow.
+    """
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).view(np.uint64).reshape(-1, 8)
+    sums = np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0)
+    return sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+
+
 def fingerprint(text: str | None, words: int = WORDS) -> int:
     """64-bit SimHash of the word shingles of a text, as an unsigned integer."""
     tokens = (text or "").encode("utf-8", "replace").lower().split()
@@ -47,7 +57,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     digest = xxhash.xxh64_intdigest
     for start in range(0, n, CHUNK):
         part = [digest(b" ".join(tokens[i : i + words]), SEED) for i in range(start, min(n, start + CHUNK))]
-        ones += np.unpackbits(np.array(part, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        ones += bit_counts(np.array(part, dtype=np.uint64))
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
