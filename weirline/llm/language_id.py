@@ -97,7 +97,7 @@ class Model:
         for (lang, w), p in words.items():
             self.word_table[self.words[w], at[lang]] = p
         self.grams = {g: i for i, g in enumerate(dict.fromkeys(g for _, g in grams))}
-        self.gram_table = np.array([floor[len(g)] for g in self.grams]).reshape(-1, len(langs))
+        self.gram_table = floor[np.array([len(g) for g in self.grams], dtype=np.int64)]
         for (lang, g), p in grams.items():
             self.gram_table[self.grams[g], at[lang]] = p
         self.unseen: dict[str, np.ndarray] = {}

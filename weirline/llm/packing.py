@@ -248,9 +248,9 @@ def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return map_arrow(picked, run, schema).withColumnRenamed("id", id_col)
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, **options) -> DataFrame:
     """Pieces of all texts with the sequence and the place there that each is given."""
-    return pack(materialize(tokenize_pieces(docs, id_col, text_col), "pieces"), **options)
+    return pack(materialize(tokenize_pieces(docs, id_col, text_col, capacity=capacity), "pieces"), capacity=capacity, **options)
 
 
 def op3_packing(spark, sf_dir: str) -> DataFrame:
