@@ -61,7 +61,7 @@ def float_text_exact(c: Column, single: bool = False) -> Column:
     @F.pandas_udf("string")
     def shown(values):
         plain = lambda x: "NaN" if x != x else ("inf" if x > 0 else "-inf") if np.isinf(x) else np.format_float_positional(kind(x), unique=True, trim="-")
-        return values.map(plain, na_action="ignore")
+        return values.map(plain)
 
     # A null and a NaN look alike to pandas: nulls are taken out first.
     return F.when(c.isNull(), F.lit(None)).otherwise(shown(c))

@@ -40,7 +40,7 @@ class _Replay(SimpleDataSourceStreamReader):
 
     def read(self, start: dict):
         end = min(self.total, start["at"] + self.per_poll)
-        return self._rows(start["at"], end), {"at": end}
+        return iter(list(self._rows(start["at"], end))), {"at": end}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
         return self._rows(start["at"], end["at"])
