@@ -34,7 +34,7 @@ from ._common import col, map_arrow, materialize
 #: Tokens in a sequence, and the id that closes a document, of the registered query.
 CAPACITY, CLOSE = 4096, 1
 #: Words whose ids a worker remembers; it forgets all when there are more.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 def default_tokenizer() -> str:
@@ -53,7 +53,51 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-_known: dict[str, dict[str, bytes]] = {}
+_known: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+#: Characters stripped from a word's end before it is looked up; they are tokens of their own (fixed values).
+TAIL = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that a byte-level vocabulary writes bytes as: printable ones stand for themselves."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _as_model_word(word: str) -> str | None:
+    """What the tokenizer's normalisation and pre-tokenization make of a word of Latin letters; None for others."""
+    if not word.isalpha() or max(word) > "\u017f" or "\u0130" in word:
+        return None
+    low = word.lower()
+    return low if low.isascii() else low.encode().decode("latin-1").translate(_LETTERS)
+
+
+def _learn(new: list[str], tokenizer, known: dict[str, bytes], cores: dict[str, bytes]) -> None:
+    """Add the ids of new words. A plain word and the marks at its end are looked up apart."""
+    hard = []
+    for w in new:
+        core = w.rstrip(TAIL)
+        model_word = _as_model_word(core) if core else None
+        if model_word is None:
+            hard.append(w)
+            continue
+        ids = cores.get(model_word)
+        if ids is None:
+            ids = cores[model_word] = np.array([t.id for t in tokenizer.model.tokenize(model_word)], dtype="<u4").tobytes()
+        if len(core) < len(w):
+            tail = w[len(core) :]
+            if tail not in cores:
+                cores[tail] = np.array(tokenizer.encode(tail, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            ids += cores[tail]
+        known[w] = ids
+    for at in range(0, len(hard), 4096):
+        part = hard[at : at + 4096]
+        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, dtype="<u4").tobytes()
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
@@ -62,17 +106,14 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     The tokenizer drops white space and no token crosses it, so words between spaces are encoded apart,
     each once as long as it is remembered.
     """
-    tokenizer, known = _tokenizer(path), _known.setdefault(path, {})
+    tokenizer, (known, cores) = _tokenizer(path), _known.setdefault(path, ({}, {}))
     out = []
     for start in range(0, len(texts), 256):
         cut = [t.replace("\n", " ").split(" ") for t in texts[start : start + 256]]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in dict.fromkeys(w for words in cut for w in words) if w not in known]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for held in (known, cores):
+            if len(held) > CACHE_WORDS:
+                held.clear()
+        _learn([w for w in dict.fromkeys(w for words in cut for w in words) if w not in known], tokenizer, known, cores)
         out += [b"".join([known[w] for w in words]) for words in cut]
     return out
 
