@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ._common import col, map_arrow
 
 #: Bytes of text in a block: bounds the memory of a task (a longer text is a block of its own).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 _ODD = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
@@ -134,26 +134,37 @@ def _encode_sorted(path: str):
     return run
 
 
+@lru_cache(maxsize=2)
+def _decimals(path: str) -> list[bytes]:
+    return [b"%d" % i for i in range(len(token_bytes(path)))]
+
+
 def _reassemble(path: str, id_type: pa.DataType, ids_out: bool, decode: bool):
     def run(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
         n = words.num_rows
         table: list[bytes] = [b""] * n
         for number, ids in zip(words.column("number").to_pylist(), words.column("ids").to_pylist(), strict=True):
             table[number] = ids
-        arrays = [np.frombuffer(ids, dtype="<u4") for ids in table]
-        decimal = [" ".join(map(str, a.tolist())).encode() for a in arrays]
-        bytes_of = token_bytes(path)
+        # Of each distinct word: its ids in decimal, and the bytes they decode to.
+        lengths = np.array([len(ids) // 4 for ids in table], dtype=np.int64)
+        flat = np.frombuffer(b"".join(table), dtype="<u4").tolist()
+        ends = np.cumsum(lengths).tolist()
+        show, bytes_of = _decimals(path), token_bytes(path)
+        starts = [0, *ends[:-1]]
+        decimal = [b" ".join([show[i] for i in flat[a:b]]) for a, b in zip(starts, ends, strict=True)]
+        decoded = [b"".join([bytes_of[i] for i in flat[a:b]]) for a, b in zip(starts, ends, strict=True)] if decode else []
+        del flat
         unpack = zstandard.ZstdDecompressor().decompress
         cols: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
-        for held in texts.column("held").to_pylist():
-            at = np.frombuffer(unpack(held), dtype="<u4").tolist()
-            ids = np.frombuffer(b"".join([table[i] for i in at]), dtype="<u4")
-            cols["n_tokens"].append(len(ids))
+        for held in texts.column("held"):
+            numbers = np.frombuffer(unpack(held.as_py()), dtype="<u4")
+            at = numbers.tolist()
+            cols["n_tokens"].append(int(lengths[numbers].sum()))
             cols["ids_sha256"].append(hashlib.sha256(b" ".join([decimal[i] for i in at])).hexdigest())
             if decode:
-                cols["decoded_sha256"].append(hashlib.sha256(b"".join([bytes_of[i] for i in ids.tolist()])).hexdigest())
+                cols["decoded_sha256"].append(hashlib.sha256(b"".join([decoded[i] for i in at])).hexdigest())
             if ids_out:
-                cols["ids"].append(ids.astype(np.int32))
+                cols["ids"].append(np.frombuffer(b"".join([table[i] for i in at]), dtype="<u4").astype(np.int32))
         out = {"id": texts.column("id").cast(id_type), "n_tokens": pa.array(cols["n_tokens"], pa.int64()), "ids_sha256": pa.array(cols["ids_sha256"], pa.string())}
         if decode:
             out["decoded_sha256"] = pa.array(cols["decoded_sha256"], pa.string())
