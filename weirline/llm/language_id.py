@@ -100,20 +100,19 @@ class Model:
         self.gram_table = floor[np.array([len(g) for g in self.grams], dtype=np.int64)]
         for (lang, g), p in grams.items():
             self.gram_table[self.grams[g], at[lang]] = p
-        self.unseen: dict[str, np.ndarray] = {}
+        self.unseen: dict[str, list[int]] = {}
 
-    def back_off(self, word: str) -> np.ndarray:
-        """The mean, over the places of a word, of its longest known n-gram there."""
+    def back_off(self, word: str) -> list[int]:
+        """Of each place of a word the row of its longest known n-gram there."""
         held = self.unseen.get(word)
         if held is None:
-            marked, at = f" {word} ", []
+            marked, held = f" {word} ", []
             for i in range(1, len(marked) - 1):
                 for size in range(LONGEST, 0, -1):
-                    k = self.grams.get(marked[max(0, i - 1) : max(0, i - 1) + size]) if size > 1 else self.grams.get(marked[i])
+                    k = self.grams.get(marked[i - 1 : i - 1 + size]) if size > 1 else self.grams.get(marked[i])
                     if k is not None:
-                        at.append(k)
+                        held.append(k)
                         break
-            held = self.gram_table[at].mean(axis=0) if at else np.zeros(len(self.langs))
             if len(self.unseen) > COUNT_AT_MOST:
                 self.unseen.clear()
             if len(word) <= WORD_CHARS:
@@ -124,12 +123,13 @@ class Model:
         words = words_of(text) if text else []
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        known = [self.words.get(w, -1) for w in words]
-        ids = np.array(known)
-        total = self.word_table[ids[ids >= 0]].sum(axis=0)
-        for w, k in zip(words, known, strict=True):
-            if k < 0:
-                total = total + self.back_off(w)
+        known = np.array([*map(self.words.get, words, [-1] * len(words))])
+        total = self.word_table[known[known >= 0]].sum(axis=0)
+        # All unseen words at once: each the mean of its places.
+        places = [g for k in np.flatnonzero(known < 0).tolist() if (g := self.back_off(words[k]))]
+        if places:
+            sizes = [len(g) for g in places]
+            total = total + np.repeat(1 / np.array(sizes), sizes) @ self.gram_table[[k for g in places for k in g]]
         scaled = total * min(1.0, EVIDENCE / len(words))
         best = int(np.argmax(scaled))
         return self.langs[best], float(1 / np.exp(np.clip(scaled - scaled[best], -700, 0)).sum())
