@@ -113,8 +113,8 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
         for held in (known, cores):
             if len(held) > CACHE_WORDS:
                 held.clear()
-        _learn([w for w in dict.fromkeys(w for words in cut for w in words) if w not in known], tokenizer, known, cores)
-        out += [b"".join([known[w] for w in words]) for words in cut]
+        _learn(list(set().union(*cut).difference(known)), tokenizer, known, cores)
+        out += [b"".join(map(known.__getitem__, words)) for words in cut]
     return out
 
 
