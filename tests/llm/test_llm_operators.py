@@ -300,6 +300,22 @@ def test_simhash_groups(odd, empty):
     assert simhash.simhash_groups(empty).count() == 0
 
 
+def test_near_copies_of_a_large_shard(spark, monkeypatch):
+    """Dealt in blocks, near copies at and around the threshold fall into the same groups as by brute force."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(120)]
+    texts = [" ".join(w if rng.random() > rate else f"x{rng.randint(0, 9)}" for w in base) for rate in (0.005, 0.01, 0.02, 0.03) for _ in range(10)]
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(116)} for t in texts]
+    forest = simhash.Forest(len(sets))
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                forest.join(i, j)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup.drop_near_copies(df).collect()) == [i for i in range(len(sets)) if forest.root(i) == i]
+
+
 def test_near_copies(spark, odd, empty):
     rng = random.Random(2)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
