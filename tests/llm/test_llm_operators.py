@@ -346,7 +346,7 @@ def test_language_id(spark, odd, empty):
     got = language_id.predict(df, model).collect()
     assert all(r.lang_pred == r.lang and 0.9 < r.score <= 1 for r in got)
     assert model.predict("gartenhaus wasserhaus")[0] == "de", "unseen words fall back to n-grams"
-    for t in (None, "", "123 %%% \n"):
+    for t in (None, "", "123 %%% \n", "\u00bd \u00b2 \u2167"):
         assert model.predict(t) == ("und", 0.0)
     out = language_id.predict(odd[0], model)
     assert out.count() == len(odd[1]) and out.filter("score < 0 OR score > 1 OR lang_pred IS NULL").count() == 0

@@ -121,7 +121,8 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
-        if not words or not self.langs:
+        # Runs may hold numbers that are no decimal digits (such as fractions): one letter at least is asked for.
+        if not self.langs or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
         known = np.array([*map(self.words.get, words, [-1] * len(words))])
         total = self.word_table[known[known >= 0]].sum(axis=0)
