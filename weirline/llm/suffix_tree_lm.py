@@ -1,18 +1,23 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 Tokens are words, then one end. A node of the tree is a context: the last one, two, ... tokens before a
-symbol. Contexts whose share of all training tokens is at least MIN_CONTEXT are candidates; of a context's
-next symbols those with a joint share of at least MIN_JOINT are kept, each count less a discount. A
-candidate stays if its next-symbol distribution diverges from that of its suffix by at least MIN_DIVERGENCE
+symbol. Of a context's next symbols those seen MIN_COUNT times after it are kept, each count less a discount. A
+context stays if its next-symbol distribution diverges from that of its suffix by at least MIN_DIVERGENCE
 (relative entropy, in nats, over the kept symbols), or if a longer context that stays needs it. The mass that
 the kept symbols leave is given to the others in proportion to the suffix's distribution (back-off), down to
 add-one unigrams; so every state's distribution sums to one over all known words and one unknown. A text
 is scored from the longest state that is a suffix of what precedes each token.
 
-Shares, not counts, bound the tree: at most 1/MIN_CONTEXT contexts and 1/MIN_JOINT entries a depth, and
-1/MIN_SHARE frequent words are broadcast, whatever the data. All other words are rare: their counts are joined
-to the texts by a shuffle on the word, so that every word of every text has its whole count. No word in
-that shuffle has more than MIN_SHARE of all tokens: no hot key.
+Counts, not shares, decide what is kept, so the tree (`train_whole`) grows with the data. It is held as written
+tables by gram (a context with its symbol), named by a 64-bit hash. A kept gram's suffix is kept too, so a
+score is the base score plus, for each gram of a text, one value: what the entry adds to the back-off, and the
+back-off weight of the gram as a context. These values are joined to the texts by a shuffle; only
+1/MIN_SHARE frequent words and the MOST_GRAMS most frequent grams are broadcast instead, with the same
+result. Rare words' counts are joined by the same shuffle. No word in it has more than MIN_SHARE of all tokens, and
+no gram more than a MOST_GRAMS-th of all grams: no hot key. A bitmap of fixed size keeps grams that can't be in a table out of the shuffles.
+
+`train` builds a tree in memory, bounded by shares of the training tokens (MIN_CONTEXT, MIN_JOINT); the query
+doesn't use it.
 
 Defined results: null text counts as empty (one token, the end); a null id counts as the text '' when texts are
 held out; repeated rows give repeated result rows; without training texts N and V are zero, and the model
@@ -27,21 +32,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import col, id_text, map_arrow, materialize
+from ._common import col, id_text, lookup, map_arrow, materialize, release
 
 #: Least share of the training tokens of a word that is broadcast, of a context, and of a context with its symbol.
 MIN_SHARE, MIN_CONTEXT, MIN_JOINT = 1e-6, 1e-5, 1e-6
 #: Least relative entropy of a context to its suffix, longest context, and discount of a kept count.
 MIN_DIVERGENCE, DEPTH, DISCOUNT = 0.01, 2, 0.5
+#: Least count of a context with its symbol in the whole tree.
+MIN_COUNT = 2
 #: Longest frequent word in bytes; longer ones are treated as rare, with the same result.
 FREQUENT_BYTES = 256
 END, RARE = 0, -1
 #: Rows that a task gathers before it passes them on.
 AT_MOST = 200_000
+#: Seed and multiplier of the grams' hashes (fixed values; the seed is that of Spark's xxhash64), the end's hash.
+SEED, MULTIPLIER = 42, 0x9E3779B97F4A7C15
+END_KEY = xxhash.xxh64_intdigest(b" ", SEED)
+#: Bits of a gram filter (16 MB), tokens hashed at once, and grams counted at once.
+FILTER_BITS, CHUNK_TOKENS, COUNT_AT = 1 << 27, 500_000, 3_000_000
+#: Most grams that are broadcast; what more there are is joined, with the same result.
+MOST_GRAMS = 1 << 18
+#: Bits in one bitmap of Spark's bitmap functions; a fixed value.
+BITMAP_BITS = 32768
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -167,17 +184,23 @@ def _pair_counts(shared, depth: int):
     return run
 
 
-def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_share: float = MIN_SHARE, min_context: float = MIN_CONTEXT, min_joint: float = MIN_JOINT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT) -> tuple[Tree, DataFrame]:
-    """The tree, and the written table (word, n) of all training words' counts."""
-    spark = texts.sparkSession
-    picked = texts.select(col(text_col).alias("text"))
+def _unigrams(picked: DataFrame, min_share: float) -> tuple[Tree, DataFrame]:
+    """A tree of the root alone, and the written table (word, n) of all training words' counts."""
     counted = materialize(map_arrow(picked, _count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     sums = counted.agg(F.sum("n"), F.count("*")).first()
     ends = picked.count()
     total, vocabulary = (sums[0] or 0) + ends, sums[1] + (ends > 0)
     often = counted.filter((F.col("n") >= max(1, total * min_share)) & (F.length("word") <= FREQUENT_BYTES)).orderBy(F.desc("n"), "word").toPandas()
     ids = {bytes(w): i for i, w in enumerate(often["word"], 1)}
-    tree = Tree(ids, np.array([ends, *often["n"]], dtype=np.int64), total, vocabulary)
+    return Tree(ids, np.array([ends, *often["n"]], dtype=np.int64), total, vocabulary), counted
+
+
+def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_share: float = MIN_SHARE, min_context: float = MIN_CONTEXT, min_joint: float = MIN_JOINT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT) -> tuple[Tree, DataFrame]:
+    """The tree, and the written table (word, n) of all training words' counts."""
+    spark = texts.sparkSession
+    picked = texts.select(col(text_col).alias("text"))
+    tree, counted = _unigrams(picked, min_share)
+    total = tree.total
     if not total:
         return tree, counted
     # Candidates of depth d, as (key, node): contexts whose share is large enough; their suffix is a node.
@@ -252,61 +275,287 @@ def _keep_diverging(tree: Tree, words: list[tuple[int, ...]], entries: list[dict
     tree.keys, tree.logs = tree.keys[on], tree.logs[on]
 
 
-_SCORED = "uid long, id {kind}, word binary, n long, n_tokens long, known long, base double, score double"
+# ---- The whole tree, as tables by gram.
+
+
+class _Hashes(dict):
+    """Words' hashes, each computed once as long as it is remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > AT_MOST:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, SEED)
+        return out
+
+
+def _chunks(texts: Iterator[list[bytes]], hashes: _Hashes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of some texts at once, each as end, words, end: the tokens' hashes, their places in the text, the text's number."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def flush():
+        lengths = np.array([len(x) for x in held], dtype=np.int64)
+        text = np.repeat(np.arange(len(held)), lengths)
+        out = np.concatenate(held), np.arange(size) - np.repeat(np.cumsum(lengths) - lengths, lengths), text
+        held.clear()
+        return out
+
+    for words in texts:
+        one = np.empty(len(words) + 2, np.uint64)
+        one[0] = one[-1] = END_KEY
+        one[1:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+        held.append(one)
+        size += len(one)
+        if size > CHUNK_TOKENS:
+            yield flush()
+            size = 0
+    if held:
+        yield flush()
+
+
+def _longer(grams: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Hashes of the grams that end at each token and are one longer than the given ones; the first is none."""
+    out = tokens.copy()
+    out[1:] += grams[:-1] * np.uint64(MULTIPLIER)
+    return out
+
+
+def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(FILTER_BITS - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """One hash, one bit: tells which keys may be in a table. Its size is fixed."""
+    at = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    rows = keys.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("slot")).agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(BITMAP_BITS - 1))).alias("bitmap")).collect()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for slot, bitmap in rows:
+        out[slot * BITMAP_BITS // 8 : (slot + 1) * BITMAP_BITS // 8] = np.frombuffer(bitmap, np.uint8)
+    return out
+
+
+def _gram_counts(shared, length: int):
+    """Counts of grams of a length whose first and last length - 1 tokens may both be kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            key, context = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            key, first, n = np.unique(key, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(context[first].view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "ctx", "n"])
+
+        texts = (words_of(t.as_py()) for batch in batches for t in batch.column(0))
+        for tokens, place, _ in _chunks(texts, _Hashes()):
+            shorter = tokens
+            for _ in range(length - 2):
+                shorter = _longer(shorter, tokens)
+            may = _in_filter(bits, shorter) & (place >= length - 2)
+            at = np.flatnonzero(may[1:] & may[:-1] & (place[1:] >= length - 1)) + 1
+            held.append((_longer(shorter, tokens)[at], shorter[at - 1]))
+            size += len(at)
+            if size > COUNT_AT:
+                yield flush()
+                size = 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the hash of the gram without its oldest token, from that of its context: key + (ctx_sfx - ctx) * MULTIPLIER."""
+    for batch in batches:
+        key, ctx, ctx_sfx = (batch.column(x).to_numpy().view(np.uint64) for x in ("key", "ctx", "ctx_sfx"))
+        sfx = key + (ctx_sfx - ctx) * np.uint64(MULTIPLIER)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sfx.view(np.int64))], names=[*batch.schema.names, "sfx"])
+
+
+def train_whole(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT, min_share: float = MIN_SHARE) -> tuple[Tree, DataFrame, DataFrame]:
+    """A tree of the root alone, the written table of all training words' counts, and the written table
+    (key, value, n, length) of the grams: what each adds to the score of a text, log10."""
+    spark = texts.sparkSession
+    picked = texts.select(col(text_col).alias("text"))
+    tree, counted = _unigrams(picked, min_share)
+    least = max(2, min_count)
+    end = np.array([END_KEY], np.uint64).view(np.int64)[0]
+    ends = spark.createDataFrame([(int(end), int(tree.counts[0]))], "key long, n long")
+    grams = counted.select(F.xxhash64("word").alias("key"), "n").unionByName(ends).filter(F.col("n") >= least)
+    # p: the gram's last token after the others; of one token, after the root.
+    grams = grams.select("key", "n", F.lit(0).cast("long").alias("sfx"), ((F.col("n") + 1.0) / (tree.total + tree.vocabulary + 1.0)).alias("p"))
+    levels: list[DataFrame] = []
+    made: list[DataFrame] = []
+    nodes: list[DataFrame] = []
+    for length in range(2, depth + 2):
+        shared = spark.sparkContext.broadcast(_filter(grams))
+        counts = map_arrow(picked, _gram_counts(shared, length), "key long, ctx long, n long").groupBy("key", "ctx").agg(F.sum("n").alias("n"))
+        kept = materialize(counts.filter(F.col("n") >= least), "grams")
+        # n bounds how many kept grams have a context or a suffix in common, so it serves as their weight.
+        contexts = grams.select(F.col("key").alias("ctx"), F.col("n").alias("size"), F.col("sfx").alias("ctx_sfx"))
+        sized = lookup(kept, contexts, "ctx", "size", tree.total, heavy=4096).select("key", "ctx", "n", "size", "ctx_sfx")
+        sized = materialize(map_arrow(sized, _suffixes, "key long, ctx long, n long, size long, ctx_sfx long, sfx long"), "sized")
+        suffixes = grams.select(F.col("key").alias("sfx"), F.col("n").alias("sfx_n"), F.col("p").alias("below"))
+        both = lookup(sized, suffixes, "sfx", "sfx_n", tree.total, heavy=4096).select("key", "ctx", "n", "size", "ctx_sfx", "sfx", "below")
+        written = materialize(both, "level")
+        release(kept, sized)
+        grams = written.withColumn("p", (F.col("n") - discount) / F.col("size"))
+        sums = grams.groupBy("ctx").agg(F.max("size").alias("size"), F.max("ctx_sfx").alias("ctx_sfx"), F.sum("p").alias("mass"), F.sum("below").alias("rest"), F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).alias("gain"))
+        left = F.greatest(1 - F.col("mass"), F.lit(1e-9))
+        weighed = sums.withColumn("left", left).withColumn("weight", F.col("left") / F.greatest(1 - F.col("rest"), F.lit(1e-9)))
+        nodes.append(materialize(weighed.select("ctx", "size", "ctx_sfx", F.log10("weight").alias("weight"), (F.col("gain") + F.col("left") * F.log("weight") >= min_divergence).alias("stays")), "nodes"))
+        levels.append(grams)
+        made.append(written)
+        # The shuffles behind written tables aren't read again; their files go with the driver's garbage.
+        spark.sparkContext._jvm.System.gc()
+        if grams.isEmpty():
+            break
+    # A node that goes is passed through: nodes that stay have their whole line of suffixes.
+    values: DataFrame | None = None
+    needed: DataFrame | None = None
+    for length, level, node in zip(range(len(levels) + 1, 1, -1), reversed(levels), reversed(nodes), strict=True):
+        stay = node.filter("stays")
+        if needed is not None:
+            stay = node.join(needed, "ctx", "left").filter(F.col("stays") | F.col("needed")).drop("needed")
+            stay = materialize(stay, "stay")
+        needed = stay.select(F.col("ctx_sfx").alias("ctx")).distinct().withColumn("needed", F.lit(True))
+        entries = lookup(level.select("ctx", "key", "n", "p", "below"), stay.select("ctx", "size", "weight"), "ctx", "size", tree.total, heavy=4096)
+        gains = entries.select("key", "n", (F.log10("p") - F.log10("below") - F.col("weight")).alias("value"), F.lit(length).alias("length"))
+        weights = stay.select(F.col("ctx").alias("key"), F.col("size").alias("n"), F.col("weight").alias("value"), F.lit(length - 1).alias("length"))
+        both = gains.unionByName(weights)
+        values = both if values is None else values.unionByName(both)
+    out = materialize(values.groupBy("key", "length").agg(F.sum("value").alias("value"), F.max("n").alias("n")), "values")
+    release(*made, *nodes)
+    spark.sparkContext._jvm.System.gc()
+    return tree, counted, out
+
+
+def _gram_rows(words: list[list[bytes]], hashes: _Hashes, lengths: int, bits: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts: what the broadcast grams add to each score; text, key and count of the other grams that may be in the table."""
+    added = np.zeros(len(words))
+    parts, seen = [], 0
+    for tokens, place, text in _chunks(iter(words), hashes):
+        grams, text = tokens, text + seen
+        seen = int(text[-1]) + 1
+        held: list[np.ndarray] = []
+        for length in range(1, lengths + 1):
+            on = place >= length - 1
+            if length == 1:
+                # The last end is no context.
+                on = np.append(text[1:] == text[:-1], False)
+            else:
+                grams = _longer(grams, tokens)
+            at = np.flatnonzero(on)
+            if len(often[0]):
+                near = np.minimum(np.searchsorted(often[0], grams[at]), len(often[0]) - 1)
+                hit = often[0][near] == grams[at]
+                np.add.at(added, text[at[hit]], often[1][near[hit]])
+                at = at[~hit]
+            at = at[_in_filter(bits, grams[at])]
+            held.append(np.stack([text[at].astype(np.uint64), grams[at]]))
+        of, keys = np.concatenate(held, axis=1)
+        order = np.lexsort((keys, of))
+        of, keys = of[order], keys[order]
+        new = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (keys[1:] != keys[:-1]))) if len(of) else np.zeros(0, np.int64)
+        parts.append((of[new].astype(np.int64), keys[new].view(np.int64), np.diff(np.append(new, len(of)))))
+    of, keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return added, of, keys, n
+
+
+_SCORED = "uid long, id {kind}, key long, word binary, n long, n_tokens long, known long, base double, score double"
 
 
 def _score(shared, id_type: pa.DataType):
-    """For each text a row of what the broadcast words give, and a row for each of its rare words."""
+    """For each text a row of what the broadcast words and grams give, and a row for each of its rare words and grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        tree, lengths, bits, often = shared.value
         uid = TaskContext.get().partitionId() << 33
+        kinds = (pa.int64(), id_type, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        names = ["uid", "id", "key", "word", "n", "n_tokens", "known", "base", "score"]
+        hashes = _Hashes()
         for batch in batches:
-            cols: list[list] = [[] for _ in range(8)]
-
-            def pack(cols=cols) -> pa.RecordBatch:
-                kinds = (pa.int64(), id_type, pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["uid", "id", "word", "n", "n_tokens", "known", "base", "score"])
-                for c in cols:
+            cols: list[list] = [[] for _ in range(9)]
+            # The words of the texts whose grams are due, and the places of their rows.
+            due: list[list[bytes]] = []
+            rows: list[int] = []
+            size = 0
+
+            def pack(cols=cols, due=due, rows=rows) -> Iterator[pa.RecordBatch]:
+                if due and lengths:
+                    added, of, keys, n = _gram_rows(due, hashes, lengths, bits, often)
+                    for at, more in zip(rows, added, strict=True):
+                        cols[8][at] += float(more)
+                    uids, k = np.array([cols[0][at] for at in rows], np.int64)[of], len(of)
+                    # A gram's word is empty; a word never is.
+                    whole = (uids, None, keys, pa.array([b""], pa.binary()).take(pa.array(np.zeros(k, np.int32))), n, *[None] * 4)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(k, t) if c is None else pa.array(c, t) for c, t in zip(whole, kinds, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+                for c in (*cols, due, rows):
                     c.clear()
-                return out
 
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens, words = _tokens(text.as_py(), tree.ids)
                 logs, _ = tree.log_probability(tokens)
-                often = tokens[tokens >= 0]
-                # The row of the text itself: its word holds a space, so that no count is joined to it.
-                row = (uid, id_, b" %d" % uid, 0, len(tokens), int((tree.counts[often] > 0).sum()), float(tree.base[often].sum()), float(logs.sum()))
+                often_ = tokens[tokens >= 0]
+                due.append(words)
+                rows.append(len(cols[0]))
+                # The row of the text itself: its word is a space, so that no count is joined to it.
+                row = (uid, id_, uid, b" ", 0, len(tokens), int((tree.counts[often_] > 0).sum()), float(tree.base[often_].sum()), float(logs.sum()))
                 for c, v in zip(cols, row, strict=True):
                     c.append(v)
                 rare = Counter([words[i] for i in np.flatnonzero(tokens < 0)])
                 k = len(rare)
-                for c, v in zip(cols, ([uid] * k, [None] * k, list(rare), list(rare.values()), *[[None] * k] * 4), strict=True):
+                for c, v in zip(cols, ([uid] * k, [None] * k, [0] * k, list(rare), list(rare.values()), *[[None] * k] * 4), strict=True):
                     c.extend(v)
                 uid += 1
-                if len(cols[0]) > AT_MOST:
-                    yield pack()
-            yield pack()
+                size += len(tokens)
+                if len(cols[0]) > AT_MOST or size > CHUNK_TOKENS:
+                    yield from pack()
+                    size = 0
+            yield from pack()
 
     return run
 
 
-def score(docs: DataFrame, tree: Tree, counted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id_col, n_tokens, n_known, base_score, score."""
+def score(docs: DataFrame, tree: Tree, counted: DataFrame, id_col: str = "doc_id", text_col: str = "text", values: DataFrame | None = None) -> DataFrame:
+    """One row per row of docs: id_col, n_tokens, n_known, base_score, score. values: the grams' table of `train_whole`."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(tree)
+    rare = counted.filter((F.col("n") < max(1, tree.total * MIN_SHARE)) | (F.length("word") > FREQUENT_BYTES)).select(F.lit(0).cast("long").alias("key"), "word", F.col("n").alias("c"), F.lit(None).cast("double").alias("value"))
+    lengths, bits, often = 0, np.zeros(0, np.uint8), (np.zeros(0, np.uint64), np.zeros(0))
+    if values is not None:
+        least, many = 2, 0
+        for n, count in sorted(values.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect(), reverse=True):
+            many += count
+            if many > MOST_GRAMS:
+                least = n + 1
+                break
+        # Cold grams are as rare as MOST_GRAMS others of their count or more: none is a hot key.
+        hot = F.col("n") >= least
+        top = values.filter(hot).select("key", "value").toArrow()
+        keys = top.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        often = keys[order], top.column("value").to_numpy()[order]
+        rest = values.filter(~hot)
+        lengths, bits = values.agg(F.max("length")).first()[0] or 0, _filter(rest)
+        rare = rare.unionByName(rest.select("key", F.lit(b"").alias("word"), F.lit(None).cast("long").alias("c"), "value"))
+    shared = spark.sparkContext.broadcast((tree, lengths, bits, often))
     picked = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     kind = picked.schema["id"].dataType
     rows = map_arrow(picked, _score(shared, to_arrow_type(kind)), _SCORED.format(kind=kind.simpleString()))
-    rare = counted.filter((F.col("n") < max(1, tree.total * MIN_SHARE)) | (F.length("word") > FREQUENT_BYTES)).select("word", F.col("n").alias("c"))
-    joined = rows.join(rare, "word", "left")
+    joined = rows.join(rare, ["key", "word"], "left")
     unit = F.lit(math.log10(tree.total + tree.vocabulary + 1.0))
-    term = F.when(F.col("n") > 0, F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0)) - unit)).otherwise(F.lit(0.0))
-    known = F.when(F.col("n") > 0, F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).otherwise(F.lit(0))
-    parts = joined.select("uid", "id", "n_tokens", "known", "base", "score", term.alias("term"), known.cast("long").alias("more"))
-    whole = parts.groupBy("uid").agg(F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"), (F.sum("known") + F.sum("more")).alias("n_known"), (F.sum("base") + F.sum("term")).alias("base_score"), (F.sum("score") + F.sum("term")).alias("score"))
+    is_word = (F.col("n") > 0) & (F.length("word") > 0)
+    term = F.when(is_word, F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0)) - unit)).otherwise(F.lit(0.0))
+    known = F.when(is_word & (F.col("c") > 0), F.col("n")).otherwise(F.lit(0))
+    gain = F.coalesce(F.col("n") * F.col("value"), F.lit(0.0))
+    parts = joined.select("uid", "id", "n_tokens", "known", "base", "score", term.alias("term"), known.cast("long").alias("more"), gain.alias("gain"))
+    whole = parts.groupBy("uid").agg(F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"), (F.sum("known") + F.sum("more")).alias("n_known"), (F.sum("base") + F.sum("term")).alias("base_score"), (F.sum("score") + F.sum("term") + F.sum("gain")).alias("score"))
     return whole.select(F.col("id").alias(id_col), "n_tokens", "n_known", "base_score", "score")
 
 
@@ -317,6 +566,6 @@ def held_out(id_col: str = "doc_id", mod: int = 7, rest: int = 2) -> Column:
 def op4_lm_score(spark, sf_dir: str) -> DataFrame:
     """Query: all whole documents scored by a tree learned from those not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    tree, counted = train(docs.filter(~held_out()))
-    out = score(docs, tree, counted)
+    tree, counted, values = train_whole(docs.filter(~held_out()))
+    out = score(docs, tree, counted, values=values)
     return out.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"), "base_score", "score")
