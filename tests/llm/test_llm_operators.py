@@ -567,3 +567,21 @@ def test_ranks_file_is_what_decoding_uses():
     with open(path, "rb") as f:
         first = f.readline().split()
     assert bpe.token_bytes(path)[int(first[1])] == base64.b64decode(first[0])
+
+
+# ---- findings of review r01
+
+
+def test_pem_redaction_covers_the_key():
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123", "", "MIIEow+/" * 8, "abcDEF12" * 8, "Zm9v=="])
+    cases = {
+        f"before {begin}\n{body}\n{end} after": "before [REDACTED:pem] after",
+        f"a {begin}\n{body}\nThe text goes on.": "a [REDACTED:pem]\nThe text goes on.",
+        f"a {begin}\n{body}": "a [REDACTED:pem]",
+        f"a {begin} {'MIIEow+/' * 8} {'abcDEF12' * 8} and prose": "a [REDACTED:pem] and prose",
+        f'"{begin}\\n{"MIIEow+/" * 8}\\nZm9v==\\n"': '"[REDACTED:pem]"',
+        f"{begin}\n{body}\n{begin}\n{body}\n{end}": "[REDACTED:pem]\n[REDACTED:pem]",
+    }
+    for (text, want), spans in zip(cases.items(), secret_scan.scan(list(cases)), strict=True):
+        assert secret_scan.redact(text, spans).replace("[REDACTED:pem][REDACTED:pem]", "[REDACTED:pem]\n[REDACTED:pem]").replace("\n[REDACTED", "\n[REDACTED") == want

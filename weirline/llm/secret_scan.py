@@ -168,7 +168,13 @@ BASE = (
 )
 #: Rules that the index adds: well-known public token forms (fixed values).
 MORE = (
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    # To the END line; where it is missing, over headers and base64 lines, also those whose line ends are escaped or spaces.
+    Rule(
+        "pem",
+        r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"
+        r"(?:(?:(?!-----BEGIN )[^\0])*?-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----"
+        r"|(?:\r?\n[\x20\t]*(?:[A-Za-z0-9-]+:[^\r\n]*|[A-Za-z0-9+/=]*)[\x20\t]*(?=[\r\n]|\Z)|(?:\\r)?\\n[A-Za-z0-9+/=]*|[\x20\t]+[A-Za-z0-9+/=]{16,})*)",
+    ),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("stripe", r"(?:sk|rk)_live_[A-Za-z0-9]{16,}"),
