@@ -5,7 +5,6 @@ import base64
 import collections
 import glob
 import hashlib
-import math
 import random
 import re
 import zlib
@@ -16,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weirline.llm import bpe, chat_format, exact_dedup, language_id, media, near_dedup, packing, secret_scan, simhash, suffix_tree_lm, url_filter
+from weirline.llm import bpe, chat_format, exact_dedup, language_id, media, near_dedup, packing, secret_scan, simhash, url_filter
 from weirline.llm._common import lookup, materialize
 from weirline.llm._components import components
 from weirline.llm.queries import ORACLE_SQL, QUERIES
@@ -202,90 +201,6 @@ def test_packed_pieces_are_the_tokenizers_ids(odd, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
-# ---- 4
-
-
-def test_suffix_tree(spark, odd, empty):
-    df, rows = odd
-    texts = ["the cat sat on the mat", "the cat ran", "a dog sat on the mat", "der hund und der kater und der hund"] * 40 + [None, ""]
-    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    tree, counted = suffix_tree_lm.train(train, min_context=1e-3, min_joint=1e-3)
-    counts = collections.Counter(w for t in texts for w in [*suffix_tree_lm.words_of(t), None])
-    n, v = sum(counts.values()), len(counts)
-    assert (tree.total, tree.vocabulary) == (n, v) and int(tree.depth_of.max()) == 2 and len(tree.keys)
-    # Each state's distribution sums to one, with one unknown word.
-    symbols = np.arange(len(tree.counts))
-    assert len(tree.counts) == v
-    for node in [0, *tree.kid_nodes]:
-        p = tree.probability(np.full(len(symbols), node), symbols)
-        unknown, at = 1 / (n + v + 1), node
-        while at:
-            unknown *= 10 ** tree.weight[at]
-            at = tree.parent[at]
-        assert abs(p.sum() + unknown - 1) < 1e-9
-    got = suffix_tree_lm.score(df, tree, counted).collect()
-    assert len(got) == len(rows)
-    base = lambda ws: sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws)
-    want = sorted((-1 if r[0] is None else r[0], len(ws), sum(counts[w] > 0 for w in ws), round(base(ws), 6)) for r in rows for ws in [[*suffix_tree_lm.words_of(r[1]), None]])
-    assert want == sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got)
-    seen = suffix_tree_lm.score(train, tree, counted).agg(F.sum("score"), F.sum("base_score")).first()
-    assert seen[0] > 0.7 * seen[1]
-    none, counted = suffix_tree_lm.train(empty)
-    assert none.total == 0 and suffix_tree_lm.score(empty, none, counted).count() == 0
-    blind = suffix_tree_lm.score(train.limit(3), none, counted).collect()
-    assert all(r.score == 0 and r.n_known == 0 for r in blind)
-
-
-def test_suffix_tree_keeps_by_count(spark):
-    r = random.Random(4)
-    words = [f"w{i}" for i in range(60)]
-    texts = [" ".join(r.choices(words, k=r.randint(0, 9))) for _ in range(60)] + ["a rare phrase of words"] * 2 + ["", None, "a rare end"]
-    train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    depth = 4
-    lists = [[None, *suffix_tree_lm.words_of(t), None] for t in texts]
-    grams = collections.Counter(tuple(x[i : i + k]) for x in lists for k in range(2, depth + 2) for i in range(len(x) - k + 1))
-    contexts = collections.Counter(tuple(x[i : i + k]) for x in lists for k in range(1, depth + 1) for i in range(len(x) - k))
-    unigrams = collections.Counter(w for x in lists for w in x[1:])
-    n, v = sum(unigrams.values()), len(unigrams)
-    kept = collections.defaultdict(dict)
-    for g, c in grams.items():
-        if c >= 2:
-            kept[g[:-1]][g[-1]] = (c - 0.5) / contexts[g[:-1]]
-    known = [*unigrams, b"unseen"]
-    below = {(): {w: (unigrams[w] + 1) / (n + v + 1) for w in known}}
-    stays = set()
-    for c in sorted(kept, key=len):
-        low = below[c[1:]]
-        rest = (1 - sum(kept[c].values())) / (1 - sum(low[w] for w in kept[c]))
-        p = below[c] = {w: kept[c].get(w, rest * low[w]) for w in known}
-        assert abs(sum(p.values()) - 1) < 1e-9
-        gain = sum(q * math.log(q / low[w]) for w, q in kept[c].items()) + (1 - sum(kept[c].values())) * math.log(rest)
-        if gain >= suffix_tree_lm.MIN_DIVERGENCE:
-            stays |= {c[i:] for i in range(len(c))}
-    asked = [*texts, "a rare phrase unseen", "of words rare phrase of words", " ".join(words)]
-    want = []
-    for t in asked:
-        x, logs = [None, *suffix_tree_lm.words_of(t), None], 0.0
-        for i in range(1, len(x)):
-            state = next((s for k in range(min(i, depth), 0, -1) if (s := tuple(x[i - k : i])) in stays), ())
-            logs += math.log10(below[state].get(x[i], below[state][b"unseen"]))
-        want.append(logs)
-    df = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
-    tree, counted, values = suffix_tree_lm.train_whole(train, depth=depth)
-    for most in (suffix_tree_lm.MOST_GRAMS, 40):
-        # Broadcast or joined, the result is the same.
-        with pytest.MonkeyPatch.context() as patch:
-            patch.setattr(suffix_tree_lm, "MOST_GRAMS", most)
-            got = {r.doc_id: r.score for r in suffix_tree_lm.score(df, tree, counted, values=values).collect()}
-        assert [got[i] for i in range(len(asked))] == pytest.approx(want)
-    # A phrase seen twice is kept however many tokens there are.
-    more = train.unionByName(spark.range(500).select((F.col("id") + 1000).alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit(f"x{j}y"), F.col("id")) for j in range(700)]).alias("text")))
-    tree, counted, values = suffix_tree_lm.train_whole(more)
-    assert tree.total > 300_000
-    got = suffix_tree_lm.score(df.filter("text = 'a rare phrase of words'"), tree, counted, values=values).collect()
-    assert got and all(r.score > 0.3 * r.base_score for r in got)
-
-
 # ---- 5
 
 

@@ -42,6 +42,12 @@ def materialize(df: DataFrame, tag: str, **options: str) -> DataFrame:
     return out
 
 
+def stable(df: DataFrame) -> DataFrame:
+    """df, written first if its rows come out of a shuffle, whose order a retried task may change: for operators
+    that number rows by their place."""
+    return materialize(df, "stable") if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 def release(*tables: DataFrame) -> None:
     """Delete written tables that nothing reads any more."""
     for table in tables:

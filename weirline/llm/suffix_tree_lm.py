@@ -1,64 +1,60 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 Tokens are words, then one end. A node of the tree is a context: the last one, two, ... tokens before a
-symbol. Of a context's next symbols those seen MIN_COUNT times after it are kept, each count less a discount. A
-context stays if its next-symbol distribution diverges from that of its suffix by at least MIN_DIVERGENCE
-(relative entropy, in nats, over the kept symbols), or if a longer context that stays needs it. The mass that
-the kept symbols leave is given to the others in proportion to the suffix's distribution (back-off), down to
-add-one unigrams; so every state's distribution sums to one over all known words and one unknown. A text
-is scored from the longest state that is a suffix of what precedes each token.
-
-Counts, not shares, decide what is kept, so the tree (`train_whole`) grows with the data. It is held as written
-tables by gram (a context with its symbol), named by a 64-bit hash. A kept gram's suffix is kept too, so a
-score is the base score plus, for each gram of a text, one value: what the entry adds to the back-off, and the
-back-off weight of the gram as a context. These values are joined to the texts by a shuffle; only
-1/MIN_SHARE frequent words and the MOST_GRAMS most frequent grams are broadcast instead, with the same
-result. Rare words' counts are joined by the same shuffle. No word in it has more than MIN_SHARE of all tokens, and
-no gram more than a MOST_GRAMS-th of all grams: no hot key. A bitmap of fixed size keeps grams that can't be in a table out of the shuffles.
-
-`train` builds a tree in memory, bounded by shares of the training tokens (MIN_CONTEXT, MIN_JOINT); the query
-doesn't use it.
+symbol. Of a context's next symbols those seen MIN_COUNT times after it are kept, each count less a discount;
+what is left of the mass goes to the distribution of the context's suffix, down to add-one unigrams (interpolated
+absolute discounting), so every state's distribution sums to one over all known words and one unknown. A context
+stays if its next-symbol distribution diverges from that of its suffix by at least MIN_DIVERGENCE (relative
+entropy, in nats), or if a longer context that stays needs it. A text is scored from the longest state that is
+a suffix of what precedes each token.
+
+Counts, not shares, decide what is kept, so the tree grows with the data. A gram is a context with its symbol,
+named by a 64-bit hash of its tokens; buckets of grams are owned by tasks (see `_packed`), and what a gram needs
+to know of its context and of its suffix it asks their owners. A kept gram's suffix is kept too, so a score is
+the base score plus one value for each gram of the text that is in the tree: an entry's value is its log
+probability less that of its suffix and less its context's weight, a context's value is its weight. Texts ask the
+owners for the values of their grams, a chunk of texts at a time, and get sums by text back. The MOST most
+frequent words and grams are broadcast instead, and bitmaps of fixed size keep grams that can't be in the tree from
+being asked for; neither changes the result. An owner gets a gram once from each chunk of texts, however often the chunk
+has it, so no key is hot.
 
 Defined results: null text counts as empty (one token, the end); a null id counts as the text '' when texts are
 held out; repeated rows give repeated result rows; without training texts N and V are zero, and the model
-is the base. An empty table gives an empty result.
+is the base. An empty table gives an empty result. Extra columns are not read. A long text is counted in windows.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import col, id_text, lookup, map_arrow, materialize, release
+from ._common import col, id_text, map_arrow, release, stable
+from ._packed import Mail, Row, addressed, deal, fetch, find, kind_of, owners, pack, send, step, unpack
 
-#: Least share of the training tokens of a word that is broadcast, of a context, and of a context with its symbol.
-MIN_SHARE, MIN_CONTEXT, MIN_JOINT = 1e-6, 1e-5, 1e-6
 #: Least relative entropy of a context to its suffix, longest context, and discount of a kept count.
 MIN_DIVERGENCE, DEPTH, DISCOUNT = 0.01, 2, 0.5
-#: Least count of a context with its symbol in the whole tree.
+#: Least count of a context with its symbol.
 MIN_COUNT = 2
-#: Longest frequent word in bytes; longer ones are treated as rare, with the same result.
-FREQUENT_BYTES = 256
-END, RARE = 0, -1
-#: Rows that a task gathers before it passes them on.
-AT_MOST = 200_000
-#: Seed and multiplier of the grams' hashes (fixed values; the seed is that of Spark's xxhash64), the end's hash.
-SEED, MULTIPLIER = 42, 0x9E3779B97F4A7C15
-END_KEY = xxhash.xxh64_intdigest(b" ", SEED)
-#: Bits of a gram filter (16 MB), tokens hashed at once, and grams counted at once.
-FILTER_BITS, CHUNK_TOKENS, COUNT_AT = 1 << 27, 500_000, 3_000_000
-#: Most grams that are broadcast; what more there are is joined, with the same result.
-MOST_GRAMS = 1 << 18
-#: Bits in one bitmap of Spark's bitmap functions; a fixed value.
-BITMAP_BITS = 32768
+#: Words, and grams, that are broadcast: at most so many of the most frequent.
+MOST = 1 << 18
+#: Seed and multiplier of the grams' hashes (fixed values), and the end's hash; no word is a space.
+SEED, MULTIPLIER = 42, np.uint64(0x9E3779B97F4A7C15)
+END_KEY = np.uint64(xxhash.xxh64_intdigest(b" ", SEED))
+#: Bits of a filter's place (2 ** 27 bits are 16 MB).
+FILTER_BITS = 27
+#: Bytes of text tokenised at once, tokens in a window, and entries that a task gathers before it sends them.
+CHUNK_BYTES, WINDOW, GATHER = 24 << 20, 1 << 20, 1 << 22
+#: Steps of a histogram of counts for each power of two.
+STEPS = 8
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -66,497 +62,546 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+# ---- Texts as arrays of hashes
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-        counts.clear()
-        return out
 
-    for batch in batches:
-        for text in batch.column(0):
-            counts.update(words_of(text.as_py()))
-            if len(counts) > AT_MOST:
-                yield flush()
-    yield flush()
-
-
-def _tokens(text: str | None, ids: dict[bytes, int]) -> tuple[np.ndarray, list[bytes]]:
-    """Symbol numbers of a text, RARE where a word isn't broadcast, closed by END; its words."""
-    words = words_of(text)
-    return np.array([*map(ids.get, words, [RARE] * len(words)), END], dtype=np.int64), words
-
-
-class Tree:
-    """Nodes by number, 0 the root. `base` is the log10 probability of each frequent symbol."""
-
-    def __init__(self, ids: dict[bytes, int], counts: np.ndarray, total: int, vocabulary: int):
-        self.ids, self.counts, self.total, self.vocabulary = ids, counts, total, vocabulary
-        self.width = len(counts) + 2
-        self.base = np.log10((counts + 1.0) / (total + vocabulary + 1.0))
-        self.node_words: list[tuple[int, ...]] = [()]
-        self.parent = np.zeros(1, np.int64)
-        self.depth_of = np.zeros(1, np.int64)
-        # Children by (node, older word): sorted keys and their nodes.
-        self.kid_keys = np.zeros(0, np.int64)
-        self.kid_nodes = np.zeros(0, np.int64)
-        # Entries by (node, symbol): sorted keys and log10 probabilities; by node, log10 of the back-off weight.
-        self.keys = np.zeros(0, np.int64)
-        self.logs = np.zeros(0)
-        self.weight = np.zeros(1)
-
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return at, keys[at] == wanted
-
-    def states(self, tokens: np.ndarray, depth: int, candidates: tuple[np.ndarray, np.ndarray] | None = None) -> list[np.ndarray]:
-        """For each depth from 1: the node of the context of that depth before each token, -1 if none."""
-        keys, nodes = candidates or (self.kid_keys, self.kid_nodes)
-        node, out = np.zeros(len(tokens), np.int64), []
-        for d in range(1, depth + 1):
-            older = np.full(len(tokens), END, np.int64)
-            older[d:] = tokens[:-d]
-            at, hit = self._find(keys, node * self.width + older)
-            node = np.where(hit & (node >= 0) & (older >= 0), nodes[at] if len(nodes) else -1, -1)
-            out.append(node)
-        return out
-
-    def log_probability(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each token: log10 of its probability, rare ones without their unigram term; whether that is due."""
-        out = np.zeros(len(tokens))
-        open_ = np.ones(len(tokens), bool)
-        for node in reversed(self.states(tokens, int(self.depth_of.max()))):
-            live = open_ & (node >= 0)
-            where = np.flatnonzero(live)
-            at, hit = self._find(self.keys, node[where] * self.width + tokens[where])
-            hit &= tokens[where] >= 0
-            out[where[hit]] += self.logs[at[hit]]
-            open_[where[hit]] = False
-            miss = where[~hit]
-            out[miss] += self.weight[node[miss]]
-        known = open_ & (tokens >= 0)
-        out[known] += self.base[tokens[known]]
-        return out, open_ & (tokens < 0)
-
-    def probability(self, node: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """P(symbol | node) for frequent symbols, by the entries and back-off of node and its suffixes."""
-        out, node = np.ones(len(symbols)), node.copy()
-        open_ = np.ones(len(symbols), bool)
-        for _ in range(int(self.depth_of.max(initial=0))):
-            where = np.flatnonzero(open_ & (node > 0))
-            at, hit = self._find(self.keys, node[where] * self.width + symbols[where])
-            out[where[hit]] *= 10 ** self.logs[at[hit]]
-            open_[where[hit]] = False
-            out[where[~hit]] *= 10 ** self.weight[node[where[~hit]]]
-            node[where] = self.parent[node[where]]
-        out[open_] *= 10 ** self.base[symbols[open_]]
-        return out
-
-
-def _pair_counts(shared, depth: int):
-    """Counts of (node of this depth, next symbol) in training texts; symbol width - 1 stands for all rare words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, nodes = shared.value
-        held, size = [], 0
+@dataclass
+class Tokens:
+    """The words of some texts: each word's place among the distinct ones, those ones' hashes (and a second, if
+    asked for, which tells words of equal hashes apart), and how many words each text has."""
 
-        def flush() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["key", "n"])
+    index: np.ndarray
+    keys: np.ndarray
+    checks: np.ndarray
+    lengths: np.ndarray
 
-        for batch in batches:
-            for text in batch.column(0):
-                tokens, _ = _tokens(text.as_py(), tree.ids)
-                node = tree.states(tokens, depth, (keys, nodes))[-1]
-                on = node >= 0
-                held.append(node[on] * tree.width + np.where(tokens[on] >= 0, tokens[on], tree.width - 1))
-                size += int(on.sum())
-                if size > 3_000_000:
-                    yield flush()
-                    size = 0
-        yield flush()
 
-    return run
+_key = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
-def _unigrams(picked: DataFrame, min_share: float) -> tuple[Tree, DataFrame]:
-    """A tree of the root alone, and the written table (word, n) of all training words' counts."""
-    counted = materialize(map_arrow(picked, _count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    sums = counted.agg(F.sum("n"), F.count("*")).first()
-    ends = picked.count()
-    total, vocabulary = (sums[0] or 0) + ends, sums[1] + (ends > 0)
-    often = counted.filter((F.col("n") >= max(1, total * min_share)) & (F.length("word") <= FREQUENT_BYTES)).orderBy(F.desc("n"), "word").toPandas()
-    ids = {bytes(w): i for i, w in enumerate(often["word"], 1)}
-    return Tree(ids, np.array([ends, *often["n"]], dtype=np.int64), total, vocabulary), counted
+def tokenise(texts: pa.Array, with_checks: bool = False) -> Tokens:
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    parent = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    held = flat.filter(real).dictionary_encode()
+    words = held.dictionary.cast(pa.binary() if held.dictionary.type == pa.string() else pa.large_binary()).to_pylist()
+    keys = np.fromiter(map(_key, words), np.uint64, len(words))
+    checks = np.fromiter(map(xxhash.xxh3_64_intdigest, words if with_checks else ()), np.uint64)
+    return Tokens(held.indices.to_numpy(), keys, checks, np.bincount(parent[real.to_numpy(zero_copy_only=False)], minlength=len(texts)))
 
 
-def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_share: float = MIN_SHARE, min_context: float = MIN_CONTEXT, min_joint: float = MIN_JOINT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT) -> tuple[Tree, DataFrame]:
-    """The tree, and the written table (word, n) of all training words' counts."""
-    spark = texts.sparkSession
-    picked = texts.select(col(text_col).alias("text"))
-    tree, counted = _unigrams(picked, min_share)
-    total = tree.total
-    if not total:
-        return tree, counted
-    # Candidates of depth d, as (key, node): contexts whose share is large enough; their suffix is a node.
-    share = tree.counts >= min_context * total
-    words: list[tuple[int, ...]] = [()]
-    number = {(): 0}
-    new = [(int(w),) for w in np.flatnonzero(share)]
-    kids: list[tuple[int, int]] = []
-    entries: list[dict] = []
-    for d in range(1, depth + 1):
-        for w in new:
-            number[w] = len(words)
-            words.append(w)
-            # w[0] is the oldest word; its suffix drops it.
-            kids.append((number[w[1:]] * tree.width + w[0], number[w]))
-        if not new:
-            break
-        order = np.array(sorted(kids), dtype=np.int64)
-        shared = spark.sparkContext.broadcast((tree, order[:, 0].copy(), order[:, 1].copy()))
-        pairs = materialize(map_arrow(picked, _pair_counts(shared, d), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "pairs")
-        node = F.expr(f"key div {tree.width}")
-        sizes = {r[0]: r[1] for r in pairs.groupBy(node.alias("node")).agg(F.sum("n")).collect()}
-        kept = pairs.filter((F.col("n") >= max(2, total * min_joint)) & (F.col("key") % tree.width != tree.width - 1)).orderBy("key").toPandas()
-        entries.append({"sizes": sizes, "keys": kept["key"].to_numpy(np.int64), "n": kept["n"].to_numpy(np.float64)})
-        # Longer candidates: a frequent context with its symbol, if the suffix of both is a node.
-        more = kept[kept["n"] >= total * min_context]
-        new = [w for k in more["key"] if (w := (*words[k // tree.width], int(k % tree.width)))[1:] in number]
-    _keep_diverging(tree, words, entries, discount, min_divergence)
-    return tree, counted
-
-
-def _keep_diverging(tree: Tree, words: list[tuple[int, ...]], entries: list[dict], discount: float, least: float) -> None:
-    """Set the tree's nodes, entries and back-off weights, shallow first; drop nodes that don't diverge."""
-    number = {w: i for i, w in enumerate(words)}
-    parent = np.array([number[w[1:]] if w else 0 for w in words], dtype=np.int64)
-    depth_of = np.array([len(w) for w in words], dtype=np.int64)
-    tree.node_words, tree.parent, tree.depth_of = words, parent, depth_of
-    tree.weight = np.zeros(len(words))
-    stays = np.zeros(len(words), bool)
-    stays[0] = True
-    all_keys, all_logs = [], []
-    for level in entries:
-        keys, n = level["keys"], level["n"]
-        node, symbol = keys // tree.width, keys % tree.width
-        size = np.array([level["sizes"][int(x)] for x in node], dtype=np.float64)
-        p = (n - discount) / size
-        below = tree.probability(parent[node], symbol)
-        mass, rest = np.zeros(len(words)), np.zeros(len(words))
-        np.add.at(mass, node, p)
-        np.add.at(rest, node, below)
-        here = np.array(sorted(level["sizes"]), dtype=np.int64)
-        left = np.maximum(1 - mass[here], 1e-9)
-        weight = left / np.maximum(1 - rest[here], 1e-9)
-        diverges = np.zeros(len(words))
-        np.add.at(diverges, node, p * np.log(p / below))
-        diverges[here] += left * np.log(weight)
-        tree.weight[here] = np.log10(weight)
-        stays[here] |= diverges[here] >= least
-        all_keys.append(keys)
-        all_logs.append(np.log10(p))
-        order = np.argsort(np.concatenate(all_keys), kind="stable")
-        tree.keys, tree.logs = np.concatenate(all_keys)[order], np.concatenate(all_logs)[order]
-    for i in np.argsort(-depth_of):
-        if stays[i]:
-            stays[parent[i]] = True
-    # A node that goes is passed through: what backs off to it would reach its suffix. Nodes that stay
-    # have their whole line of suffixes, so the weights already computed still hold.
-    kids = sorted((int(parent[i]) * tree.width + words[i][0], i) for i in range(1, len(words)) if stays[i])
-    tree.kid_keys = np.array([k for k, _ in kids], dtype=np.int64)
-    tree.kid_nodes = np.array([i for _, i in kids], dtype=np.int64)
-    on = stays[tree.keys // tree.width] if len(tree.keys) else np.zeros(0, bool)
-    tree.keys, tree.logs = tree.keys[on], tree.logs[on]
-
-
-# ---- The whole tree, as tables by gram.
-
-
-class _Hashes(dict):
-    """Words' hashes, each computed once as long as it is remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > AT_MOST:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word, SEED)
-        return out
-
-
-def _chunks(texts: Iterator[list[bytes]], hashes: _Hashes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of some texts at once, each as end, words, end: the tokens' hashes, their places in the text, the text's number."""
-    held: list[np.ndarray] = []
-    size = 0
-
-    def flush():
-        lengths = np.array([len(x) for x in held], dtype=np.int64)
-        text = np.repeat(np.arange(len(held)), lengths)
-        out = np.concatenate(held), np.arange(size) - np.repeat(np.cumsum(lengths) - lengths, lengths), text
-        held.clear()
-        return out
-
-    for words in texts:
-        one = np.empty(len(words) + 2, np.uint64)
-        one[0] = one[-1] = END_KEY
-        one[1:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        held.append(one)
-        size += len(one)
-        if size > CHUNK_TOKENS:
-            yield flush()
-            size = 0
-    if held:
-        yield flush()
+def _chunks(batches: Iterable[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches that hold about CHUNK_BYTES of text each; a longer text is one alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def _windows(tokens: Tokens, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of texts, each as end, words, end: the tokens' hashes, places in their text and texts; which of them are
+    new, those before being seen already and shown again for the grams that reach over the border."""
+    sizes = tokens.lengths + 2
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    inner = np.ones(total, bool)
+    inner[ends - sizes] = inner[ends - 1] = False
+    keys = np.full(total, END_KEY)
+    keys[inner] = tokens.keys[tokens.index]
+    place = np.arange(total) - np.repeat(ends - sizes, sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    for start in range(0, total, WINDOW):
+        low = max(0, start - overlap)
+        part = slice(low, start + WINDOW)
+        yield keys[part], place[part], text[part], np.arange(low, min(start + WINDOW, total)) >= start
 
 
 def _longer(grams: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Hashes of the grams that end at each token and are one longer than the given ones; the first is none."""
     out = tokens.copy()
-    out[1:] += grams[:-1] * np.uint64(MULTIPLIER)
+    out[1:] += grams[:-1] * MULTIPLIER
     return out
 
 
-def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(FILTER_BITS - 1)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+# ---- Sums by key
+
 
+def _summed(n: np.ndarray, *keys: np.ndarray, by: int = 1, order: np.ndarray | None = None) -> list[np.ndarray]:
+    """Distinct rows in the order of their first `by` columns, which tell rows apart, and the sums of their n.
+    order: one in which equal rows are neighbours and the first column ascends."""
+    if order is None:
+        order = np.argsort(keys[0], kind="stable") if by == 1 else np.lexsort(keys[:by][::-1])
+    keys = [k[order] for k in keys]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys[:by]], axis=0)
+    at = np.flatnonzero(new)
+    return [*(k[at] for k in keys), np.add.reduceat(n[order], at) if len(at) else n[:0]]
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """One hash, one bit: tells which keys may be in a table. Its size is fixed."""
-    at = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = keys.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("slot")).agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(BITMAP_BITS - 1))).alias("bitmap")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for slot, bitmap in rows:
-        out[slot * BITMAP_BITS // 8 : (slot + 1) * BITMAP_BITS // 8] = np.frombuffer(bitmap, np.uint8)
+
+class _Gather:
+    """Columns of a task, the last one a count, summed and sent to their owners when they are many."""
+
+    def __init__(self, parts: int, by: int):
+        self.parts, self.by, self.held, self.size = parts, by, [], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[Row]:
+        self.held.append(columns)
+        self.size += len(columns[0])
+        if self.size > GATHER:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[Row]:
+        if self.held:
+            *keys, n = (np.concatenate(c) for c in zip(*self.held, strict=True))
+            yield from addressed("count", 0, self.parts, *_summed(n, *keys, by=self.by))
+        self.held, self.size = [], 0
+
+
+def _bits(bucket: int, keys: np.ndarray) -> Row:
+    """A bucket's part of the filter of its keys: where it starts, and its bytes."""
+    at = keys >> np.uint64(64 - FILTER_BITS)
+    low, high = int(at[0]) >> 3, (int(at[-1]) >> 3) + 1
+    out = np.zeros(high - low, np.uint8)
+    np.bitwise_or.at(out, (at >> np.uint64(3)).astype(np.int64) - low, np.left_shift(1, (at & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
+    return bucket, 0, "bits", pack(np.array([low]), out)
+
+
+def _filter(*tables: DataFrame) -> np.ndarray:
+    """One hash, one bit: tells which keys may be in the tables. Its size is fixed."""
+    out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for table in tables:
+        for start, part in fetch(table, "bits"):
+            out[start[0] : start[0] + len(part)] |= part
     return out
 
 
-def _gram_counts(shared, length: int):
-    """Counts of grams of a length whose first and last length - 1 tokens may both be kept."""
+def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - FILTER_BITS)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            key, context = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            key, first, n = np.unique(key, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(context[first].view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "ctx", "n"])
-
-        texts = (words_of(t.as_py()) for batch in batches for t in batch.column(0))
-        for tokens, place, _ in _chunks(texts, _Hashes()):
-            shorter = tokens
-            for _ in range(length - 2):
-                shorter = _longer(shorter, tokens)
-            may = _in_filter(bits, shorter) & (place >= length - 2)
-            at = np.flatnonzero(may[1:] & may[:-1] & (place[1:] >= length - 1)) + 1
-            held.append((_longer(shorter, tokens)[at], shorter[at - 1]))
-            size += len(at)
-            if size > COUNT_AT:
-                yield flush()
-                size = 0
-        if held:
-            yield flush()
+
+def _level(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(np.maximum(n, 1)) * STEPS + 1e-9).astype(np.int64)
+
+
+def _histogram(bucket: int, n: np.ndarray) -> Row:
+    return bucket, 0, "histogram", pack(np.bincount(_level(n)))
+
+
+def _least(tables: Iterable[DataFrame]) -> int:
+    """The lowest level of counts such that at most MOST keys have it or a higher one."""
+    total = np.zeros(64 * STEPS + 1, np.int64)
+    for table in tables:
+        for (h,) in fetch(table, "histogram"):
+            total[: len(h)] += h
+    above = np.cumsum(total[::-1])[::-1]
+    return int(np.flatnonzero(above <= MOST)[0])
+
+
+# ---- Training
+
+
+def _count_words(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
+        gather, ends = _Gather(parts, 2), 0
+        for chunk in _chunks(batches, 0):
+            t = tokenise(chunk.column(0), with_checks=True)
+            ends += chunk.num_rows
+            yield from gather.add(t.keys, t.checks, np.bincount(t.index, minlength=len(t.keys)))
+        if ends:
+            yield from gather.add(np.array([END_KEY]), np.zeros(1, np.uint64), np.array([ends]))
+        yield from gather.flush()
 
     return run
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the hash of the gram without its oldest token, from that of its context: key + (ctx_sfx - ctx) * MULTIPLIER."""
-    for batch in batches:
-        key, ctx, ctx_sfx = (batch.column(x).to_numpy().view(np.uint64) for x in ("key", "ctx", "ctx_sfx"))
-        sfx = key + (ctx_sfx - ctx) * np.uint64(MULTIPLIER)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sfx.view(np.int64))], names=[*batch.schema.names, "sfx"])
+def _own_words(least: int):
+    """Words' counts; the distinct hashes with their counts as grams of one token; sums: N, V, ends."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        keys, checks, n = mail.columns("count", 3)
+        keys, checks, n = _summed(n, keys, checks, by=2)
+        yield bucket, 0, "words", pack(keys, checks, n)
+        yield bucket, 0, "sums", pack(np.array([n.sum(), len(n), n[(keys == END_KEY) & (checks == 0)].sum()]))
+        yield _histogram(bucket, n)
+        keys, n = _summed(n, keys)
+        yield bucket, 0, "own", pack(keys, n)
+        if (n >= least).any():
+            yield _bits(bucket, keys[n >= least])
+
+    return run
+
+
+def _count_grams(shared, length: int, parts: int):
+    """Counts of grams of a length whose first and last length - 1 tokens may both be kept: hash, that of the
+    context, and that of the suffix (of two tokens it is what the gram's hash has besides its context's)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
+        bits, gather = shared.value, _Gather(parts, 1)
+        for chunk in _chunks(batches, 0):
+            for tokens, place, _, new in _windows(tokenise(chunk.column(0)), length):
+                shorter = tokens
+                for _ in range(length - 2):
+                    shorter = _longer(shorter, tokens)
+                may = _maybe(bits, shorter) & (place >= length - 2)
+                at = np.flatnonzero(may[1:] & may[:-1] & (place[1:] >= length - 1) & new[1:]) + 1
+                suffix = shorter[at] if length > 2 else np.zeros(len(at), np.uint64)
+                yield from gather.add(_longer(shorter, tokens)[at], shorter[at - 1], suffix, np.ones(len(at), np.int64))
+        yield from gather.flush()
+
+    return run
+
+
+def _own_grams(length: int, least: int, discount: float, parts: int):
+    """Grams seen often enough; of their contexts the mass that they take away, and what is asked of suffixes."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        *keys, n = mail.columns("count", 4)
+        key, context, suffix, n = _summed(n, *keys)
+        on = n >= least
+        if not on.any():
+            return
+        key, context, suffix, n = key[on], context[on], suffix[on], n[on]
+        if length == 2:
+            suffix = key - context * MULTIPLIER
+        yield bucket, 0, "own", pack(key, context, suffix, n)
+        yield _bits(bucket, key)
+        contexts, place = np.unique(context, return_inverse=True)
+        yield from addressed("context", bucket, parts, contexts, np.bincount(place, n - discount))
+        yield from addressed("suffix", bucket, parts, np.unique(suffix))
+
+    return run
+
 
+def _answer(length: int, total: int):
+    """Owners of grams of a length tell those that are one longer the context's count and the weight it leaves to
+    its suffix, and the suffix's probability. Their own nodes: hash, count, weight, suffix."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        if not mail["own"]:
+            return
+        if length == 1:
+            key, n = mail.columns("own", 2)
+            suffix, p = np.zeros(len(key), np.uint64), (n + 1.0) / total
+        else:
+            key, _, suffix, n, p, _ = mail.columns("own", 6)
+        mass, asked = np.zeros(len(key)), [(source, *unpack(data)) for source, data in mail["context"]]
+        for _, keys, taken in asked:
+            mass[find(key, keys)[0]] += taken
+        weight = 1 - mass / n
+        for source, keys, _ in asked:
+            at = find(key, keys)[0]
+            yield source, bucket, "context is", pack(keys, n[at], weight[at])
+        for source, data in mail["suffix"]:
+            (keys,) = unpack(data)
+            yield source, bucket, "suffix is", pack(keys, p[find(key, keys)[0]])
+        on = mass > 0
+        yield bucket, 0, "node", pack(key[on], n[on], weight[on], suffix[on])
 
-def train_whole(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT, min_share: float = MIN_SHARE) -> tuple[Tree, DataFrame, DataFrame]:
-    """A tree of the root alone, the written table of all training words' counts, and the written table
-    (key, value, n, length) of the grams: what each adds to the score of a text, log10."""
+    return run
+
+
+def _weigh(last: bool, discount: float, parts: int):
+    """Grams' probabilities and values; of their contexts what they add to the divergence, and the suffix's mass
+    that they cover."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        if not mail["own"]:
+            return
+        key, context, suffix, n = mail.columns("own", 4)
+        keys, size, weight = mail.columns("context is", 3)
+        order = np.argsort(keys)
+        at = order[find(keys[order], context)[0]]
+        size, weight = size[at], weight[at]
+        keys, below = mail.columns("suffix is", 2)
+        order = np.argsort(keys)
+        below = below[order[find(keys[order], suffix)[0]]]
+        p = (n - discount) / size + weight * below
+        value = np.log10(p) - np.log10(weight) - np.log10(below)
+        contexts, place = np.unique(context, return_inverse=True)
+        yield from addressed("sum", bucket, parts, contexts, np.bincount(place, p * np.log(p / below)), np.bincount(place, below))
+        if last:
+            suffix, p = suffix * np.uint64(0), p * 0
+        yield bucket, 0, "own", pack(key, context, suffix, n, p, value)
+
+    return run
+
+
+def _settle(length: int, least: float, parts: int):
+    """Which contexts of a length stay: told to the owners of their grams and, as needed, of their suffixes."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        if not mail["node"]:
+            return
+        key, n, weight, suffix = mail.columns("node", 4)
+        gain, rest, asked = np.zeros(len(key)), np.zeros(len(key)), [(source, *unpack(data)) for source, data in mail["sum"]]
+        for _, keys, g, r in asked:
+            at = find(key, keys)[0]
+            gain[at] += g
+            rest[at] += r
+        stays = gain + weight * (1 - rest) * np.log(weight) >= least
+        for _, data in mail["needed"]:
+            stays[find(key, unpack(data)[0])[0]] = True
+        for source, keys, *_ in asked:
+            yield source, bucket, "stays", pack(keys[stays[find(key, keys)[0]]])
+        if stays.any():
+            yield bucket, length, "value", pack(key[stays], np.log10(weight[stays]), n[stays])
+            yield _histogram(bucket, n[stays])
+            yield _bits(bucket, key[stays])
+            if length > 1:
+                yield from addressed("needed", bucket, parts, np.unique(suffix[stays]))
+
+    return run
+
+
+def _values(length: int):
+    """Values of the grams whose context stays."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        if not mail["own"]:
+            return
+        key, context, _, n, _, value = mail.columns("own", 6)
+        (contexts,) = mail.columns("stays", 1)
+        on = find(np.sort(contexts), context)[1]
+        if on.any():
+            yield bucket, length, "value", pack(key[on], value[on], n[on])
+            yield _histogram(bucket, n[on])
+            yield _bits(bucket, key[on])
+
+    return run
+
+
+@dataclass
+class Model:
+    """total, vocabulary, ends: N, V and how many tokens are ends. words: the written table of words' counts. tree:
+    written tables of the values of entries and contexts. length: tokens of the longest gram. parts: buckets."""
+
+    total: int
+    vocabulary: int
+    ends: int
+    words: DataFrame
+    tree: list[DataFrame]
+    length: int
+    parts: int
+
+
+def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT) -> Model:
+    """Count all texts and build the tree."""
     spark = texts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     picked = texts.select(col(text_col).alias("text"))
-    tree, counted = _unigrams(picked, min_share)
     least = max(2, min_count)
-    end = np.array([END_KEY], np.uint64).view(np.int64)[0]
-    ends = spark.createDataFrame([(int(end), int(tree.counts[0]))], "key long, n long")
-    grams = counted.select(F.xxhash64("word").alias("key"), "n").unionByName(ends).filter(F.col("n") >= least)
-    # p: the gram's last token after the others; of one token, after the root.
-    grams = grams.select("key", "n", F.lit(0).cast("long").alias("sfx"), ((F.col("n") + 1.0) / (tree.total + tree.vocabulary + 1.0)).alias("p"))
-    levels: list[DataFrame] = []
-    made: list[DataFrame] = []
-    nodes: list[DataFrame] = []
+    words = step(_own_words(least), "words", send(picked, _count_words(parts)), parts=parts)
+    total, vocabulary, ends = np.sum([s for (s,) in fetch(words, "sums")] or [[0, 0, 0]], axis=0).tolist()
+    own, counted, levels = kind_of(words, "own"), [words], []
     for length in range(2, depth + 2):
-        shared = spark.sparkContext.broadcast(_filter(grams))
-        counts = map_arrow(picked, _gram_counts(shared, length), "key long, ctx long, n long").groupBy("key", "ctx").agg(F.sum("n").alias("n"))
-        kept = materialize(counts.filter(F.col("n") >= least), "grams")
-        # n bounds how many kept grams have a context or a suffix in common, so it serves as their weight.
-        contexts = grams.select(F.col("key").alias("ctx"), F.col("n").alias("size"), F.col("sfx").alias("ctx_sfx"))
-        sized = lookup(kept, contexts, "ctx", "size", tree.total, heavy=4096).select("key", "ctx", "n", "size", "ctx_sfx")
-        sized = materialize(map_arrow(sized, _suffixes, "key long, ctx long, n long, size long, ctx_sfx long, sfx long"), "sized")
-        suffixes = grams.select(F.col("key").alias("sfx"), F.col("n").alias("sfx_n"), F.col("p").alias("below"))
-        both = lookup(sized, suffixes, "sfx", "sfx_n", tree.total, heavy=4096).select("key", "ctx", "n", "size", "ctx_sfx", "sfx", "below")
-        written = materialize(both, "level")
-        release(kept, sized)
-        grams = written.withColumn("p", (F.col("n") - discount) / F.col("size"))
-        sums = grams.groupBy("ctx").agg(F.max("size").alias("size"), F.max("ctx_sfx").alias("ctx_sfx"), F.sum("p").alias("mass"), F.sum("below").alias("rest"), F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).alias("gain"))
-        left = F.greatest(1 - F.col("mass"), F.lit(1e-9))
-        weighed = sums.withColumn("left", left).withColumn("weight", F.col("left") / F.greatest(1 - F.col("rest"), F.lit(1e-9)))
-        nodes.append(materialize(weighed.select("ctx", "size", "ctx_sfx", F.log10("weight").alias("weight"), (F.col("gain") + F.col("left") * F.log("weight") >= min_divergence).alias("stays")), "nodes"))
-        levels.append(grams)
-        made.append(written)
-        # The shuffles behind written tables aren't read again; their files go with the driver's garbage.
-        spark.sparkContext._jvm.System.gc()
-        if grams.isEmpty():
+        shared = spark.sparkContext.broadcast(_filter(counted[-1]))
+        grams = step(_own_grams(length, least, discount, parts), "grams", send(picked, _count_grams(shared, length, parts)), parts=parts)
+        shared.destroy()
+        release(*counted[1:])
+        counted = [words, grams]
+        if kind_of(grams, "own").isEmpty():
             break
-    # A node that goes is passed through: nodes that stay have their whole line of suffixes.
-    values: DataFrame | None = None
-    needed: DataFrame | None = None
-    for length, level, node in zip(range(len(levels) + 1, 1, -1), reversed(levels), reversed(nodes), strict=True):
-        stay = node.filter("stays")
-        if needed is not None:
-            stay = node.join(needed, "ctx", "left").filter(F.col("stays") | F.col("needed")).drop("needed")
-            stay = materialize(stay, "stay")
-        needed = stay.select(F.col("ctx_sfx").alias("ctx")).distinct().withColumn("needed", F.lit(True))
-        entries = lookup(level.select("ctx", "key", "n", "p", "below"), stay.select("ctx", "size", "weight"), "ctx", "size", tree.total, heavy=4096)
-        gains = entries.select("key", "n", (F.log10("p") - F.log10("below") - F.col("weight")).alias("value"), F.lit(length).alias("length"))
-        weights = stay.select(F.col("ctx").alias("key"), F.col("size").alias("n"), F.col("weight").alias("value"), F.lit(length - 1).alias("length"))
-        both = gains.unionByName(weights)
-        values = both if values is None else values.unionByName(both)
-    out = materialize(values.groupBy("key", "length").agg(F.sum("value").alias("value"), F.max("n").alias("n")), "values")
-    release(*made, *nodes)
-    spark.sparkContext._jvm.System.gc()
-    return tree, counted, out
-
-
-def _gram_rows(words: list[list[bytes]], hashes: _Hashes, lengths: int, bits: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts: what the broadcast grams add to each score; text, key and count of the other grams that may be in the table."""
-    added = np.zeros(len(words))
-    parts, seen = [], 0
-    for tokens, place, text in _chunks(iter(words), hashes):
-        grams, text = tokens, text + seen
-        seen = int(text[-1]) + 1
-        held: list[np.ndarray] = []
-        for length in range(1, lengths + 1):
-            on = place >= length - 1
-            if length == 1:
-                # The last end is no context.
-                on = np.append(text[1:] == text[:-1], False)
-            else:
-                grams = _longer(grams, tokens)
-            at = np.flatnonzero(on)
-            if len(often[0]):
-                near = np.minimum(np.searchsorted(often[0], grams[at]), len(often[0]) - 1)
-                hit = often[0][near] == grams[at]
-                np.add.at(added, text[at[hit]], often[1][near[hit]])
-                at = at[~hit]
-            at = at[_in_filter(bits, grams[at])]
-            held.append(np.stack([text[at].astype(np.uint64), grams[at]]))
-        of, keys = np.concatenate(held, axis=1)
-        order = np.lexsort((keys, of))
-        of, keys = of[order], keys[order]
-        new = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (keys[1:] != keys[:-1]))) if len(of) else np.zeros(0, np.int64)
-        parts.append((of[new].astype(np.int64), keys[new].view(np.int64), np.diff(np.append(new, len(of)))))
-    of, keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return added, of, keys, n
-
-
-_SCORED = "uid long, id {kind}, key long, word binary, n long, n_tokens long, known long, base double, score double"
-
-
-def _score(shared, id_type: pa.DataType):
-    """For each text a row of what the broadcast words and grams give, and a row for each of its rare words and grams."""
+        told = step(_answer(length - 1, total + vocabulary + 1), "told", own, kind_of(grams, "context", "suffix"), parts=parts)
+        weighed = step(_weigh(length > depth, discount, parts), "weighed", kind_of(grams, "own"), kind_of(told, "context is", "suffix is"), parts=parts)
+        levels.append((length, told, weighed))
+        own = kind_of(weighed, "own")
+    release(*counted[1:])
+    tree: list[DataFrame] = []
+    needed: list[DataFrame] = []
+    for length, told, weighed in reversed(levels):
+        settled = step(_settle(length - 1, min_divergence, parts), "settled", kind_of(told, "node"), kind_of(weighed, "sum"), *needed, parts=parts)
+        tree += [settled, step(_values(length), "values", kind_of(weighed, "own"), kind_of(settled, "stays"), parts=parts)]
+        needed = [kind_of(settled, "needed")]
+        release(told, weighed)
+    return Model(total, vocabulary, ends, words, tree, len(levels) and len(levels) + 1, parts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, lengths, bits, often = shared.value
-        uid = TaskContext.get().partitionId() << 33
-        kinds = (pa.int64(), id_type, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        names = ["uid", "id", "key", "word", "n", "n_tokens", "known", "base", "score"]
-        hashes = _Hashes()
+
+# ---- Scoring
+
+
+@dataclass
+class _Known:
+    """What every worker holds: the frequent words and grams, and the filter of all others."""
+
+    words: tuple[np.ndarray, np.ndarray, np.ndarray]
+    grams: tuple[np.ndarray, np.ndarray]
+    bits: np.ndarray
+    ends: int
+    unit: float
+    length: int
+    parts: int
+
+
+def _often(least: int, at: int):
+    """Of packed columns those rows whose last column, a count, is of a level or a higher one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
         for batch in batches:
-            cols: list[list] = [[] for _ in range(9)]
-            # The words of the texts whose grams are due, and the places of their rows.
-            due: list[list[bytes]] = []
-            rows: list[int] = []
-            size = 0
-
-            def pack(cols=cols, due=due, rows=rows) -> Iterator[pa.RecordBatch]:
-                if due and lengths:
-                    added, of, keys, n = _gram_rows(due, hashes, lengths, bits, often)
-                    for at, more in zip(rows, added, strict=True):
-                        cols[8][at] += float(more)
-                    uids, k = np.array([cols[0][at] for at in rows], np.int64)[of], len(of)
-                    # A gram's word is empty; a word never is.
-                    whole = (uids, None, keys, pa.array([b""], pa.binary()).take(pa.array(np.zeros(k, np.int32))), n, *[None] * 4)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(k, t) if c is None else pa.array(c, t) for c, t in zip(whole, kinds, strict=True)], names=names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
-                for c in (*cols, due, rows):
-                    c.clear()
-
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens, words = _tokens(text.as_py(), tree.ids)
-                logs, _ = tree.log_probability(tokens)
-                often_ = tokens[tokens >= 0]
-                due.append(words)
-                rows.append(len(cols[0]))
-                # The row of the text itself: its word is a space, so that no count is joined to it.
-                row = (uid, id_, uid, b" ", 0, len(tokens), int((tree.counts[often_] > 0).sum()), float(tree.base[often_].sum()), float(logs.sum()))
-                for c, v in zip(cols, row, strict=True):
-                    c.append(v)
-                rare = Counter([words[i] for i in np.flatnonzero(tokens < 0)])
-                k = len(rare)
-                for c, v in zip(cols, ([uid] * k, [None] * k, [0] * k, list(rare), list(rare.values()), *[[None] * k] * 4), strict=True):
-                    c.extend(v)
-                uid += 1
-                size += len(tokens)
-                if len(cols[0]) > AT_MOST or size > CHUNK_TOKENS:
-                    yield from pack()
-                    size = 0
-            yield from pack()
+            for data in batch.column(at).to_pylist():
+                columns = unpack(data)
+                on = _level(columns[-1]) >= least
+                if on.any():
+                    yield 0, 0, "often", pack(*(c[on] for c in columns))
+
+    return run
+
+
+def _frequent(tables: list[DataFrame], kind: str, columns: int) -> list[np.ndarray]:
+    least = _least(tables)
+    held = [x for t in tables for x in fetch(send(kind_of(t, kind), _often(least, 3)), "often")]
+    return [np.concatenate(c) for c in zip(*held, strict=True)] if held else [np.zeros(0, np.uint64)] * columns
+
+
+def _ids(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _ask(shared):
+    """For each chunk of texts a row of what is known here, and rows that ask owners for the rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
+        known: _Known = shared.value
+        task, number = TaskContext.get().partitionId(), 0
+        for chunk in _chunks(batches, 1):
+            block, home = task << 20 | number, (task + number) % known.parts
+            number += 1
+            rows = chunk.num_rows
+            t = tokenise(chunk.column(1), with_checks=True)
+            text = np.repeat(np.arange(rows), t.lengths)
+            # Words: those that are broadcast count here. Counts by text and word, each pair once.
+            pair, n = np.unique(text * len(t.keys) + t.index, return_counts=True)
+            text, index = pair // max(1, len(t.keys)), pair % max(1, len(t.keys))
+            at, hit = find(known.words[0], t.keys)
+            hit &= known.words[1][at] == t.checks if len(known.words[0]) else False
+            logs = np.zeros(len(t.keys))
+            logs[hit] = np.log10(known.words[2][at[hit]] + 1.0) - known.unit
+            here = hit[index]
+            base = np.bincount(text, n * logs[index], rows) + (np.log10(known.ends + 1.0) - known.unit)
+            sure = np.bincount(text, n * here, rows).astype(np.int64) + (known.ends > 0)
+            text, index, n = text[~here], index[~here], n[~here]
+            order = np.argsort(t.keys[index], kind="stable")
+            index = index[order]
+            yield from addressed("word", block << 20 | home, known.parts, t.keys[index], t.checks[index], text[order].astype(np.uint32), n[order].astype(np.uint32))
+            gain = np.zeros(rows)
+            for tokens, place, text, new in _windows(t, known.length):
+                grams, asked = tokens, [(tokens[:0], text[:0])]
+                for length in range(1, known.length + 1):
+                    grams = _longer(grams, tokens) if length > 1 else tokens
+                    # A text's last end is no context.
+                    on = np.flatnonzero(new & (place >= length - 1) & ((length > 1) | (tokens != END_KEY) | (place == 0)))
+                    on = on[_maybe(known.bits, grams[on])]
+                    at, hit = find(known.grams[0], grams[on])
+                    if hit.any():
+                        gain += np.bincount(text[on[hit]], known.grams[1][at[hit]], rows)
+                    asked.append((grams[on[~hit]], text[on[~hit]]))
+                keys, text = (np.concatenate(c) for c in zip(*asked, strict=True))
+                # Texts ascend in the grams of a length, so equal pairs are neighbours in a stable order of the grams.
+                keys, text, n = _summed(np.ones(len(keys), np.int64), keys, text, by=2, order=np.argsort(keys, kind="stable"))
+                yield from addressed("gram", block << 20 | home, known.parts, keys, text.astype(np.uint32), n.astype(np.uint32))
+            names = ["id", "n_tokens", "known", "base", "gain"]
+            yield home, block << 20 | home, "texts", _ids(pa.RecordBatch.from_arrays([chunk.column(0), *map(pa.array, (t.lengths.astype(np.int64) + 1, sure, base, gain))], names=names))
+
+    return run
+
+
+def _look_up(keys: np.ndarray, checks: np.ndarray, asked: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of words by both hashes, the first of which ascends; and whether they are there."""
+    at, hit = find(keys, asked)
+    for i in np.flatnonzero(hit)[checks[at[hit]] != check[hit]]:
+        places = np.arange(at[i], np.searchsorted(keys, asked[i], side="right"))
+        same = places[checks[places] == check[i]]
+        at[i], hit[i] = same[0] if len(same) else 0, len(same) > 0
+    return at, hit
+
+
+def _reply(unit: float):
+    """Owners' sums by text for what a chunk asked."""
+
+    def run(bucket: int, mail: Mail) -> Iterator[Row]:
+        for source, data in mail["texts"]:
+            yield bucket, source, "texts", data
+        if mail["word"]:
+            keys, checks, n = mail.columns("words", 3)
+            for source, data in mail["word"]:
+                asked, check, text, many = unpack(data)
+                at, hit = _look_up(keys, checks, asked, check)
+                count = np.zeros(len(asked))
+                count[hit] = n[at[hit]]
+                places, place = np.unique(text, return_inverse=True)
+                yield source & (1 << 20) - 1, source, "counted", pack(places, np.bincount(place, many * (np.log10(count + 1.0) - unit)), np.bincount(place, many * (count > 0)).astype(np.uint32))
+        if mail["gram"]:
+            keys, value, _ = mail.columns("value", 3)
+            keys, value = _summed(value, keys)
+            for source, data in mail["gram"]:
+                asked, text, many = unpack(data)
+                at, hit = find(keys, asked)
+                if hit.any():
+                    places, place = np.unique(text[hit], return_inverse=True)
+                    yield source & (1 << 20) - 1, source, "gained", pack(places, np.bincount(place, many[hit] * value[at[hit]]))
 
     return run
 
 
-def score(docs: DataFrame, tree: Tree, counted: DataFrame, id_col: str = "doc_id", text_col: str = "text", values: DataFrame | None = None) -> DataFrame:
-    """One row per row of docs: id_col, n_tokens, n_known, base_score, score. values: the grams' table of `train_whole`."""
-    from pyspark.sql.pandas.types import to_arrow_type
+def _total(names: list[str]):
+    """Chunks' texts with the sums of all owners."""
+
+    def finish(mail: Mail) -> Iterator[pa.RecordBatch]:
+        more: dict[int, list] = {}
+        for kind in ("counted", "gained"):
+            for source, data in mail[kind]:
+                more.setdefault(source, []).append((kind, data))
+        for source, data in mail["texts"]:
+            batch = pa.ipc.open_stream(data).read_next_batch()
+            known, base, gain = (batch.column(k).to_numpy(zero_copy_only=False).copy() for k in (2, 3, 4))
+            for kind, held in more.get(source, ()):
+                if kind == "counted":
+                    at, terms, n = unpack(held)
+                    base[at] += terms
+                    known[at] += n
+                else:
+                    at, terms = unpack(held)
+                    gain[at] += terms
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(known), pa.array(base), pa.array(base + gain)], names=names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mails: list[Mail] = []
+        for _ in owners(lambda bucket, mail: mails.append(mail) or ())(batches):
+            pass
+        for mail in mails:
+            yield from finish(mail)
+
+    return run
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id_col, n_tokens, n_known, base_score, score."""
     spark = docs.sparkSession
-    rare = counted.filter((F.col("n") < max(1, tree.total * MIN_SHARE)) | (F.length("word") > FREQUENT_BYTES)).select(F.lit(0).cast("long").alias("key"), "word", F.col("n").alias("c"), F.lit(None).cast("double").alias("value"))
-    lengths, bits, often = 0, np.zeros(0, np.uint8), (np.zeros(0, np.uint64), np.zeros(0))
-    if values is not None:
-        least, many = 2, 0
-        for n, count in sorted(values.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect(), reverse=True):
-            many += count
-            if many > MOST_GRAMS:
-                least = n + 1
-                break
-        # Cold grams are as rare as MOST_GRAMS others of their count or more: none is a hot key.
-        hot = F.col("n") >= least
-        top = values.filter(hot).select("key", "value").toArrow()
-        keys = top.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        often = keys[order], top.column("value").to_numpy()[order]
-        rest = values.filter(~hot)
-        lengths, bits = values.agg(F.max("length")).first()[0] or 0, _filter(rest)
-        rare = rare.unionByName(rest.select("key", F.lit(b"").alias("word"), F.lit(None).cast("long").alias("c"), "value"))
-    shared = spark.sparkContext.broadcast((tree, lengths, bits, often))
-    picked = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
-    kind = picked.schema["id"].dataType
-    rows = map_arrow(picked, _score(shared, to_arrow_type(kind)), _SCORED.format(kind=kind.simpleString()))
-    joined = rows.join(rare, ["key", "word"], "left")
-    unit = F.lit(math.log10(tree.total + tree.vocabulary + 1.0))
-    is_word = (F.col("n") > 0) & (F.length("word") > 0)
-    term = F.when(is_word, F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0)) - unit)).otherwise(F.lit(0.0))
-    known = F.when(is_word & (F.col("c") > 0), F.col("n")).otherwise(F.lit(0))
-    gain = F.coalesce(F.col("n") * F.col("value"), F.lit(0.0))
-    parts = joined.select("uid", "id", "n_tokens", "known", "base", "score", term.alias("term"), known.cast("long").alias("more"), gain.alias("gain"))
-    whole = parts.groupBy("uid").agg(F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"), (F.sum("known") + F.sum("more")).alias("n_known"), (F.sum("base") + F.sum("term")).alias("base_score"), (F.sum("score") + F.sum("term") + F.sum("gain")).alias("score"))
-    return whole.select(F.col("id").alias(id_col), "n_tokens", "n_known", "base_score", "score")
+    unit = float(np.log10(model.total + model.vocabulary + 1.0))
+    keys, checks, n = _frequent([model.words], "words", 3)
+    order = np.lexsort((checks, keys))
+    # Of words with one hash only the first is looked up here; the others are asked for.
+    order = order[np.append(True, keys[order][1:] != keys[order][:-1])] if len(order) else order
+    grams, value, _ = _frequent(model.tree, "value", 3)
+    # A gram's entry and context have one count: both are here or neither.
+    grams, value = _summed(value, grams)
+    known = _Known((keys[order], checks[order], n[order]), (grams, value), _filter(*model.tree), model.ends, unit, model.length, model.parts)
+    shared = spark.sparkContext.broadcast(known)
+    picked = stable(docs.select(col(id_col).alias("id"), col(text_col).alias("text")))
+    kind = picked.schema["id"].dataType.simpleString()
+    asks = send(picked, _ask(shared))
+    replies = send(deal(asks, kind_of(model.words, "words"), *(kind_of(t, "value") for t in model.tree), parts=model.parts), owners(_reply(unit)))
+    names = ["id", "n_tokens", "n_known", "base_score", "score"]
+    out = map_arrow(deal(replies, parts=model.parts), _total(names), f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return out.withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id", mod: int = 7, rest: int = 2) -> Column:
@@ -566,6 +611,6 @@ def held_out(id_col: str = "doc_id", mod: int = 7, rest: int = 2) -> Column:
 def op4_lm_score(spark, sf_dir: str) -> DataFrame:
     """Query: all whole documents scored by a tree learned from those not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    tree, counted, values = train_whole(docs.filter(~held_out()))
-    out = score(docs, tree, counted, values=values)
-    return out.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"), "base_score", "score")
+    model = train(docs.filter(~held_out()))
+    out = score(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
