@@ -25,6 +25,8 @@ _ARROW = pa.schema([("bucket", pa.int32()), ("source", pa.int64()), ("kind", pa.
 _HEAD = struct.Struct("<3sQQ")
 #: Bytes of values in one batch that a task passes on.
 BATCH_BYTES = 16 << 20
+#: Bytes of input for each bucket: at least, so that messages between buckets stay large; at most, so that one fits a task.
+LEAST_INPUT, MOST_INPUT = 8 << 20, 256 << 20
 
 Row = tuple[int, int, str, bytes]
 
@@ -34,7 +36,8 @@ def pack(*columns: np.ndarray) -> bytes:
     compress = zstandard.ZstdCompressor(level=1).compress
     for c in columns:
         c = np.ascontiguousarray(c)
-        held = compress(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes())
+        whole = c.view(f"<u{c.itemsize}")
+        held = compress(b"".join([(whole >> whole.dtype.type(8 * k)).astype(np.uint8).tobytes() for k in range(c.itemsize)]))
         out += [_HEAD.pack(c.dtype.str.encode(), len(c), len(held)), held]
     return b"".join(out)
 
@@ -46,8 +49,11 @@ def unpack(data: bytes) -> list[np.ndarray]:
         kind, n, size = _HEAD.unpack_from(data, at)
         at += _HEAD.size
         dtype = np.dtype(kind.decode())
-        planes = np.frombuffer(decompress(data[at : at + size]), np.uint8)
-        out.append(np.ascontiguousarray(planes.reshape(dtype.itemsize, n).T).view(dtype).ravel())
+        planes = np.frombuffer(decompress(data[at : at + size]), np.uint8).reshape(dtype.itemsize, n)
+        whole = planes[0].astype(f"<u{dtype.itemsize}")
+        for k in range(1, dtype.itemsize):
+            whole |= planes[k].astype(whole.dtype) << whole.dtype.type(8 * k)
+        out.append(whole.view(dtype))
         at += size
     return out
 
@@ -143,12 +149,20 @@ def owners(fn: Callable[[int, Mail], Iterable[Row]]) -> Callable[[Iterator[pa.Re
 
 def step(fn: Callable[[int, Mail], Iterable[Row]], tag: str, *tables: DataFrame, parts: int) -> DataFrame:
     """Deal the tables' rows to their owners and write what these send."""
-    out = materialize(send(deal(*tables, parts=parts), owners(fn)), tag)
+    out = materialize(send(deal(*tables, parts=parts), owners(fn)), tag, compression="none", **{"parquet.enable.dictionary": "false"})
     # The shuffles behind a written table aren't read again; their files go with the driver's garbage.
     out.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
+def buckets(df: DataFrame) -> int:
+    """How many buckets a table's keys are dealt to: as many as shuffle partitions, if its files are large enough."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(wanted, -(-size // LEAST_INPUT)), min(-(-size // MOST_INPUT), 1 << 20) if size < 1 << 60 else 1, 1)
+
+
 def kind_of(table: DataFrame, *kinds: str) -> DataFrame:
     return table.filter(F.col("kind").isin(*kinds))
 

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import col, id_text, map_arrow, release, stable
-from ._packed import Mail, Row, addressed, deal, fetch, find, kind_of, owners, pack, send, step, unpack
+from ._packed import Mail, Row, addressed, buckets, deal, fetch, find, kind_of, owners, pack, send, step, unpack
 
 #: Least relative entropy of a context to its suffix, longest context, and discount of a kept count.
 MIN_DIVERGENCE, DEPTH, DISCOUNT = 0.01, 2, 0.5
@@ -46,9 +46,8 @@ MIN_DIVERGENCE, DEPTH, DISCOUNT = 0.01, 2, 0.5
 MIN_COUNT = 2
 #: Words, and grams, that are broadcast: at most so many of the most frequent.
 MOST = 1 << 18
-#: Seed and multiplier of the grams' hashes (fixed values), and the end's hash; no word is a space.
-SEED, MULTIPLIER = 42, np.uint64(0x9E3779B97F4A7C15)
-END_KEY = np.uint64(xxhash.xxh64_intdigest(b" ", SEED))
+#: Multiplier of the hashes of words and of grams: any odd number.
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of a filter's place (2 ** 27 bits are 16 MB).
 FILTER_BITS = 27
 #: Bytes of text tokenised at once, tokens in a window, and entries that a task gathers before it sends them.
@@ -64,11 +63,67 @@ def words_of(text: str | None) -> list[bytes]:
 
 # ---- Texts as arrays of hashes
 
+#: By byte: lower case (A-Z only); white space.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
+#: Bytes hashed at once, and the powers of the multiplier and of its inverse up to there.
+_SEGMENT = 1 << 20
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(n + 1, MULTIPLIER), np.full(n + 1, np.uint64(pow(int(MULTIPLIER), -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes: a polynomial in the multiplier, from sums over the bytes before, then mixed."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, low + _SEGMENT, side="right")))
+        n = int(ends[to - 1]) - low
+        up, down = _powers(_SEGMENT) if n <= _SEGMENT else _powers.__wrapped__(n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data[low : low + n].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+        first = starts[at:to] - low
+        out[at:to] = (sums[ends[at:to] - low] - sums[first]) * down[first]
+        at = to
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
+
+
+#: The hash of an end: of a space, which is no word.
+END_KEY = hash_words(np.array([32], np.uint8), np.array([0]), np.array([1]))[0]
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts, null as empty, and where each begins, with the end."""
+    texts = pc.fill_null(texts, "")
+    at = np.frombuffer(texts.buffers()[1], np.int32 if texts.type in (pa.string(), pa.binary()) else np.int64)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    return data, at - at[0]
+
+
+def hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of texts, one after another, and how many words each text has."""
+    data, at = _bytes(texts)
+    dark = ~_SPACE[data]
+    border = np.zeros(len(data) + 1, bool)
+    border[at] = True
+    starts = np.flatnonzero(dark & (np.append(True, ~dark[:-1])[: len(data)] | border[:-1]))
+    ends = np.flatnonzero(dark & (np.append(~dark[1:], True)[: len(data)] | border[1:])) + 1
+    return hash_words(_LOWER[data], starts, ends), np.diff(np.searchsorted(starts, at))
+
 
 @dataclass
-class Tokens:
-    """The words of some texts: each word's place among the distinct ones, those ones' hashes (and a second, if
-    asked for, which tells words of equal hashes apart), and how many words each text has."""
+class Words:
+    """The words of some texts: each one's place among the distinct ones; the hashes of those, and a second that
+    tells words of equal hashes apart; how many words each text has."""
 
     index: np.ndarray
     keys: np.ndarray
@@ -76,19 +131,16 @@ class Tokens:
     lengths: np.ndarray
 
 
-_key = partial(xxhash.xxh64_intdigest, seed=SEED)
-
-
-def tokenise(texts: pa.Array, with_checks: bool = False) -> Tokens:
+def distinct(texts: pa.Array) -> Words:
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     parent = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     flat = lists.flatten()
     real = pc.greater(pc.binary_length(flat), 0)
     held = flat.filter(real).dictionary_encode()
-    words = held.dictionary.cast(pa.binary() if held.dictionary.type == pa.string() else pa.large_binary()).to_pylist()
-    keys = np.fromiter(map(_key, words), np.uint64, len(words))
-    checks = np.fromiter(map(xxhash.xxh3_64_intdigest, words if with_checks else ()), np.uint64)
-    return Tokens(held.indices.to_numpy(), keys, checks, np.bincount(parent[real.to_numpy(zero_copy_only=False)], minlength=len(texts)))
+    data, at = _bytes(held.dictionary)
+    raw = data.tobytes()
+    checks = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)), np.uint64, len(at) - 1)
+    return Words(held.indices.to_numpy(), hash_words(data, at[:-1], at[1:]), checks, np.bincount(parent[real.to_numpy(zero_copy_only=False)], minlength=len(texts)))
 
 
 def _chunks(batches: Iterable[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
@@ -103,16 +155,16 @@ def _chunks(batches: Iterable[pa.RecordBatch], text_at: int) -> Iterator[pa.Reco
             start = end
 
 
-def _windows(tokens: Tokens, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _windows(words: np.ndarray, lengths: np.ndarray, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Of texts, each as end, words, end: the tokens' hashes, places in their text and texts; which of them are
     new, those before being seen already and shown again for the grams that reach over the border."""
-    sizes = tokens.lengths + 2
+    sizes = lengths + 2
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
     inner = np.ones(total, bool)
     inner[ends - sizes] = inner[ends - 1] = False
     keys = np.full(total, END_KEY)
-    keys[inner] = tokens.keys[tokens.index]
+    keys[inner] = words
     place = np.arange(total) - np.repeat(ends - sizes, sizes)
     text = np.repeat(np.arange(len(sizes)), sizes)
     for start in range(0, total, WINDOW):
@@ -210,7 +262,7 @@ def _count_words(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
         gather, ends = _Gather(parts, 2), 0
         for chunk in _chunks(batches, 0):
-            t = tokenise(chunk.column(0), with_checks=True)
+            t = distinct(chunk.column(0))
             ends += chunk.num_rows
             yield from gather.add(t.keys, t.checks, np.bincount(t.index, minlength=len(t.keys)))
         if ends:
@@ -244,7 +296,7 @@ def _count_grams(shared, length: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
         bits, gather = shared.value, _Gather(parts, 1)
         for chunk in _chunks(batches, 0):
-            for tokens, place, _, new in _windows(tokenise(chunk.column(0)), length):
+            for tokens, place, _, new in _windows(*hashed(chunk.column(0)), length):
                 shorter = tokens
                 for _ in range(length - 2):
                     shorter = _longer(shorter, tokens)
@@ -393,8 +445,8 @@ class Model:
 def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT) -> Model:
     """Count all texts and build the tree."""
     spark = texts.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     picked = texts.select(col(text_col).alias("text"))
+    parts = buckets(picked)
     least = max(2, min_count)
     words = step(_own_words(least), "words", send(picked, _count_words(parts)), parts=parts)
     total, vocabulary, ends = np.sum([s for (s,) in fetch(words, "sums")] or [[0, 0, 0]], axis=0).tolist()
@@ -475,7 +527,7 @@ def _ask(shared):
             block, home = task << 20 | number, (task + number) % known.parts
             number += 1
             rows = chunk.num_rows
-            t = tokenise(chunk.column(1), with_checks=True)
+            t = distinct(chunk.column(1))
             text = np.repeat(np.arange(rows), t.lengths)
             # Words: those that are broadcast count here. Counts by text and word, each pair once.
             pair, n = np.unique(text * len(t.keys) + t.index, return_counts=True)
@@ -492,7 +544,7 @@ def _ask(shared):
             index = index[order]
             yield from addressed("word", block << 20 | home, known.parts, t.keys[index], t.checks[index], text[order].astype(np.uint32), n[order].astype(np.uint32))
             gain = np.zeros(rows)
-            for tokens, place, text, new in _windows(t, known.length):
+            for tokens, place, text, new in _windows(t.keys[t.index], t.lengths, known.length):
                 grams, asked = tokens, [(tokens[:0], text[:0])]
                 for length in range(1, known.length + 1):
                     grams = _longer(grams, tokens) if length > 1 else tokens
