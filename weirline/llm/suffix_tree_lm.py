@@ -51,7 +51,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of a filter's place (2 ** 27 bits are 16 MB).
 FILTER_BITS = 27
 #: Bytes of text tokenised at once, tokens in a window, and entries that a task gathers before it sends them.
-CHUNK_BYTES, WINDOW, GATHER = 24 << 20, 1 << 20, 1 << 22
+CHUNK_BYTES, WINDOW, GATHER = 8 << 20, 1 << 19, 1 << 21
 #: Steps of a histogram of counts for each power of two.
 STEPS = 8
 
@@ -210,6 +210,7 @@ class _Gather:
     def flush(self) -> Iterator[Row]:
         if self.held:
             *keys, n = (np.concatenate(c) for c in zip(*self.held, strict=True))
+            self.held = []
             yield from addressed("count", 0, self.parts, *_summed(n, *keys, by=self.by))
         self.held, self.size = [], 0
 
