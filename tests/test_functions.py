@@ -132,6 +132,10 @@ def test_masks(spark):
     assert "AKAKAKAKAKAK" not in said and "0123456789" not in said and said.endswith(",format=csv") and "'AK***AK'" in said
     assert secrets.mask_dsn("host=a password='x y' user=b") == "host=a password=*** user=b"
     assert secrets.mask_dsn("postgres://u:pw@h/db") == "postgres://u:***@h/db"
+    assert secrets.mask_dsn("postgres://u:p/w@h/db") == "postgres://u:***@h/db" and secrets.mask_dsn("postgres://u:@h") == "postgres://u:***@h"
+    assert secrets.mask_dsn("postgresql://u@h/d") == "postgresql://u@h/d" and secrets.mask_dsn("postgresql://h/d:1") == "postgresql://h/d:1"
+    assert secrets.mask_dsn("host=h PASSWORD=x") == "host=h PASSWORD=***" and secrets.mask_dsn("host=h user=u") == "host=h user=u"
+    assert secrets.mask_dsn(r"password='a\' b' x=1") == "password=*** x=1" and secrets.mask_dsn("password='open until the end") == "password=***"
 
 
 def test_endpoints(spark):

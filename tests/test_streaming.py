@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirline.config import Compression, Config, Mode
-from weirline.errors import ConfigError, SchemaError, StorageError, WriterClosed, WriterFenced, WriterLocked
+from weirline.errors import ConfigError, DatabaseError, RotationFailed, SchemaError, SerialContractViolation, StagingStalled, StorageError, WriterClosed, WriterFenced, WriterLocked
 from weirline.sources import staging
 from weirline.sources.push import ReplaySource
 from weirline.sources.store import Store
@@ -22,7 +22,8 @@ SCHEMA = TableSchema(COLUMNS, ("id",), 13727, 54321)
 
 
 def config(tmp_path, **more):
-    return Config(str(tmp_path), buckets=4, retry_max=0, **more)
+    settings = {"retry_max": 0, "lock_wait": 0, "lock_settle": 0, "staging_error_after_attempts": 1, "ticker": False}
+    return Config(str(tmp_path), buckets=4, **(settings | more))
 
 
 def batch(spark, *pairs):
@@ -92,12 +93,12 @@ def test_crash_between_staging_and_load_is_mended(spark, tmp_path, monkeypatch):
     w, _ = engine.open_table("t", SCHEMA, "w-0")
     w.append(batch(spark, (1, "a")), 0, 0)
     w.flush()
-    monkeypatch.setattr(w, "_announce", lambda f: (_ for _ in ()).throw(StorageError("crash")))
+    monkeypatch.setattr(w, "_load", lambda *_: (_ for _ in ()).throw(StorageError("crash")))
     w.append(batch(spark, (1, "b"), (2, "x")), 1, 2)
-    with pytest.raises(StorageError):
+    with pytest.raises(DatabaseError):
         w.flush()
-    assert content(w) == [(1, "a")] and isinstance(w.fatal_error(), StorageError)
-    w.lease.release()
+    assert content(w) == [(1, "a")] and isinstance(w.fatal_error(), DatabaseError)
+    w.abandon()
     again, plan = engine.open_table("t", SCHEMA, "w-0")
     assert [f["seq"] for f in plan.backfill] == [1] and plan.next_offset == 3 and content(again) == [(1, "b"), (2, "x")]
     again._announce(plan.backfill[0])
@@ -125,8 +126,8 @@ def test_rotation_by_size(spark, tmp_path):
 
 def test_lease(spark, tmp_path):
     store, now = Store(spark, str(tmp_path)), [1000.0]
-    a = Lease(store, "l.json", 180, clock=lambda: now[0])
-    b = Lease(store, "l.json", 180, clock=lambda: now[0])
+    a = Lease(store, "l.json", 180, clock=lambda: now[0], settle=0)
+    b = Lease(store, "l.json", 180, clock=lambda: now[0], settle=0)
     a.acquire()
     with pytest.raises(WriterLocked):
         b.acquire()
@@ -192,3 +193,291 @@ def test_catalog(spark, tmp_path):
         spark.sql("DROP TABLE keyed")
     with pytest.raises(SchemaError):
         fetch_schema(spark, "nothing.here")
+
+
+# ---- Nothing taken is lost
+
+
+def broken(n, e=OSError("the store is away")):
+    """A stand-in for a method that fails n times, then does what it did."""
+
+    def wrap(real):
+        left = [n]
+
+        def call(*args, **kwargs):
+            if left[0]:
+                left[0] -= 1
+                raise e
+            return real(*args, **kwargs)
+
+        return call
+
+    return wrap
+
+
+def reopened(engine):
+    again, plan = engine.open_table("t", SCHEMA, "w-0")
+    out = content(again), plan, again.staged_offset
+    again.close()
+    return out
+
+
+def test_a_file_that_fails_to_stage_keeps_its_rows_and_its_name(spark, tmp_path, monkeypatch):
+    engine = Engine(spark, config(tmp_path))
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    monkeypatch.setattr(w, "_stage", broken(2)(w._stage))
+    w.append(batch(spark, (1, "a")), 0, 0)
+    for attempts in (1, 2):
+        with pytest.raises(StagingStalled):
+            w.flush()
+        assert w.fatal_error() is None and w.staged_offset is None and w.progress.attempts == attempts and "o0-0" in w.progress.failing
+    w.append(batch(spark, (2, "b")), 1, 1)
+    assert w.flush() == 1 and w.progress.failing is None and content(w) == [(1, "a"), (2, "b")]
+    assert [n.split("-", 1)[1] for n, _ in w.store.list(w.folder)] == ["0000000-o0-0.csv.gz", "0000001-o1-1.csv.gz"]
+    w.close()
+
+
+def test_staging_is_tried_again_with_longer_pauses(spark, tmp_path, monkeypatch):
+    slept = []
+    engine = Engine(spark, config(tmp_path, staging_error_after_attempts=4), sleep=slept.append)
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    monkeypatch.setattr(w, "_stage", broken(3)(w._stage))
+    w.append(batch(spark, (1, "a")), 0, 0)
+    assert w.flush() == 0 and slept == [1.0, 2.0, 4.0]
+    monkeypatch.setattr(w, "_stage", broken(1, SchemaError("no such type"))(w._stage))
+    w.append(batch(spark, (2, "b")), 1, 1)
+    with pytest.raises(RotationFailed):
+        w.flush()
+    assert isinstance(w.fatal_error(), RotationFailed), "what can't succeed isn't tried again"
+    w.abandon()
+
+
+def test_nothing_is_taken_while_the_queue_is_full(spark, tmp_path, monkeypatch):
+    w, _ = Engine(spark, config(tmp_path, rotate_size_bytes=1, rotation_queue_depth=2)).open_table("t", SCHEMA, "w-0")
+    real = w._stage
+    monkeypatch.setattr(w, "_stage", broken(99)(real))
+    for k in range(2):
+        w.append(batch(spark, (k, "x")), k, k)
+    with pytest.raises(StagingStalled):
+        w.append(batch(spark, (2, "x")), 2, 2)
+    assert len(w._sealed) == 2 and not w._buffer and w._top == 1
+    monkeypatch.setattr(w, "_stage", real)
+    w.append(batch(spark, (2, "x")), 2, 2)
+    assert content(w) == [(0, "x"), (1, "x"), (2, "x")]
+    w.close()
+
+
+@pytest.mark.parametrize("times", [1, 99])
+def test_a_load_that_fails_blocks_its_group(spark, tmp_path, monkeypatch, times):
+    slept = []
+    engine = Engine(spark, config(tmp_path, retry_max=2), sleep=slept.append)
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    monkeypatch.setattr(w, "_load", broken(times, RuntimeError("no engine error"))(w._load))
+    w.append(batch(spark, (1, "a")), 0, 0)
+    if times == 1:
+        assert w.flush() == 0 and slept == [1.0] and content(w) == [(1, "a")] and [j["status_name"] for j in w.jobs()] == ["FINISH"]
+        w.close()
+        return
+    with pytest.raises(DatabaseError):
+        w.flush()
+    assert slept == [1.0, 2.0] and isinstance(w.fatal_error(), DatabaseError) and w.staged_offset == 0
+    monkeypatch.undo()
+    with pytest.raises(DatabaseError):
+        w.append(batch(spark, (2, "b")), 1, 1)
+    with pytest.raises(DatabaseError):
+        w.flush()
+    assert w.target.applied(w.serial_group) == -1 and [(j["status_name"], j["attempts"], j["retry_max"], j["add_by"]) for j in w.jobs()] == [("FAIL", 3, 2, 4)]
+    w.abandon()
+    rows, plan, end = reopened(engine)
+    assert rows == [(1, "a")] and [f["seq"] for f in plan.backfill] == [0] and end == 0
+
+
+def test_a_staged_file_that_vanished_is_an_error(spark, tmp_path, monkeypatch):
+    engine = Engine(spark, config(tmp_path))
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    real = w._announce
+    monkeypatch.setattr(w, "_announce", lambda f: w.store.delete(f"{w.folder}/{[n for n, _ in w.store.list(w.folder)][-1]}") and real(f))
+    w.append(batch(spark, (1, "a")), 0, 0)
+    with pytest.raises(DatabaseError, match="is gone"):
+        w.flush()
+    w.abandon()
+
+
+def test_a_batch_without_rows_moves_the_offset(spark, tmp_path):
+    engine = Engine(spark, config(tmp_path))
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    w.append(batch(spark, (1, "a")).limit(0), 0, 9)
+    assert w.flush() == 9
+    w.abandon()
+    assert reopened(engine)[2] == 9
+
+
+def test_a_gap_in_the_jobs_and_a_wrong_identity_are_refused(spark, tmp_path):
+    engine = Engine(spark, config(tmp_path))
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    w.append(batch(spark, (1, "a")), 0, 0)
+    w.flush()
+    w._book((w.epoch << 20) + 1, "another", {"end_offset": 1, "epoch_ms": w.epoch, "seq": 1, "start_offset": 1, "compressed": True}, "READY", 0)
+    w.append(batch(spark, (1, "b")), 1, 1)
+    with pytest.raises(SerialContractViolation):
+        w.flush()
+    w.abandon()
+    state = json.loads(w.store.get(w._state_key))
+    w.store.put(w._state_key, json.dumps(state | {"writer_id": "other"}))
+    with pytest.raises(ConfigError, match="writer_id"):
+        engine.open_table("t", SCHEMA, "w-0")
+    assert w.store.get_json(f"{w.folder}/_meta/lease.json") is None, "a failed opening releases the lease"
+
+
+def test_numbers_roll_over_into_the_next_epoch(spark, tmp_path):
+    w, _ = Engine(spark, config(tmp_path)).open_table("t", SCHEMA, "w-0")
+    epoch, w.seq = w.epoch, (1 << 20) - 1
+    for k in range(2):
+        w.append(batch(spark, (k, "a")), k, k)
+        w.flush()
+    assert (w.epoch, w.seq) == (epoch + 1, 1) and len(content(w)) == 2
+    w.close()
+
+
+def test_chores(spark, tmp_path):
+    now = [1_700_000_000.0]
+    cfg = config(tmp_path, rotate_interval_max=15.0, gc_retain_min_files=3, gc_retain_days=1)
+    engine = Engine(spark, cfg, clock=lambda: now[0])
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    w.append(batch(spark, (1, "a")), 0, 0)
+    now[0] += 14
+    w.tick()
+    assert w.staged_offset is None
+    now[0] += 2
+    w.tick()
+    assert w.staged_offset == 0, "sealed by age, without another batch"
+    beat = w.store.get_json(f"{w.folder}/_meta/lease.json")["heartbeat"]
+    now[0] += 31
+    w.tick()
+    assert w.store.get_json(f"{w.folder}/_meta/lease.json")["heartbeat"] == now[0] > beat and w._lag.sampled_at == now[0]
+    for k in range(1, 6):
+        w.append(batch(spark, (k, "a")), k, k)
+        w.flush()
+    now[0] += 2 * 86400
+    w.lease.heartbeat()
+    w.tick()
+    assert len(w.store.list(w.folder)) == 3 and len(w.jobs()) == 3 and w.store.get_json(w._state_key)["resume_offset"] == 5
+    w.store.put(f"{w.folder}/_meta/lease.json", json.dumps({"uuid": "another", "host": "h", "pid": 1, "heartbeat": now[0]}))
+    now[0] += 60
+    with pytest.raises(WriterFenced):
+        w.tick()
+    with pytest.raises(WriterFenced):
+        w.append(batch(spark, (9, "a")), 99, 99)
+    w.abandon()
+
+
+def test_the_ticker_seals_by_itself(spark, tmp_path):
+    import time
+
+    w, _ = Engine(spark, config(tmp_path, rotate_interval_max=1.0, ticker=True)).open_table("t", SCHEMA, "w-0")
+    w.append(batch(spark, (1, "a")), 0, 0)
+    for _ in range(100):
+        if w.staged_offset == 0:
+            break
+        time.sleep(0.2)
+    assert w.staged_offset == 0
+    w.close()
+    assert not w._thread.is_alive()
+
+
+def test_opening_waits_for_a_lease_and_takes_a_stale_one(spark, tmp_path):
+    now, store = [1000.0], Store(spark, str(tmp_path))
+    clock = lambda: now[0]
+    sleep = lambda s: now.__setitem__(0, now[0] + s)
+    a = Lease(store, "l.json", 180, clock)
+    a.acquire()
+    with pytest.raises(WriterLocked):
+        Lease(store, "l.json", 180, clock, wait=10, sleep=sleep).acquire()
+    assert now[0] == 1010
+    b = Lease(store, "l.json", 180, clock, wait=600, sleep=sleep)
+    b.acquire()
+    assert 1180 < now[0] < 1190
+    with pytest.raises(WriterFenced):
+        a.verify()
+    b.release()
+
+
+# ---- The target table
+
+
+def test_two_writers_of_one_table(spark, tmp_path):
+    engines = [Engine(spark, config(tmp_path)) for _ in range(2)]
+    a, b = (e.open_table("t", SCHEMA, f"w-{k}")[0] for k, e in enumerate(engines))
+    for k in range(3):
+        for at, w in enumerate((a, b)):
+            w.append(batch(spark, (1000 * at + k, "x"), (1000 * at, f"r{k}")), 10 * k, 10 * k + 1)
+            w.flush()
+    assert content(a) == content(b) == sorted([(0, "r2"), (1, "x"), (2, "x"), (1000, "r2"), (1001, "x"), (1002, "x")], key=repr)
+    a.close()
+    b.close()
+
+
+def table(spark, tmp_path, buckets=4):
+    from weirline.streaming.target import Target
+
+    return Target(spark, f"{tmp_path}/t", COLUMNS, ("id",), buckets)
+
+
+def test_commits_that_meet_lose_nothing(spark, tmp_path, monkeypatch):
+    a, b = table(spark, tmp_path), table(spark, tmp_path, 7)
+    rows = lambda *p: spark.createDataFrame(p, COLUMNS)
+    a.upsert(rows((1, "a"), (2, "a")), {"g": 0})
+    write = a._write
+
+    def slow(df):  # while a writes its part, b commits
+        folder = write(df)
+        b.upsert(rows((2, "b"), (3, "b")), {"h": 5})
+        monkeypatch.setattr(a, "_write", write)
+        return folder
+
+    monkeypatch.setattr(a, "_write", slow)
+    a.upsert(rows((3, "a"), (4, "a")), {"g": 1})
+    assert sorted(map(tuple, a.read().collect())) == [(1, "a"), (2, "b"), (3, "a"), (4, "a")]
+    assert a.manifest()["applied"] == {"g": 1, "h": 5}
+    b.upsert(rows((1, "again")), {"h": 5})
+    assert (1, "again") not in list(map(tuple, a.read().collect()))
+
+
+def test_a_crash_before_the_commit_leaves_the_table(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    rows = lambda *p: spark.createDataFrame(p, COLUMNS)
+    t.upsert(rows((1, "a")), {"g": 0})
+    monkeypatch.setattr(t.store, "create", broken(1)(t.store.create))
+    with pytest.raises(OSError, match="away"):
+        t.upsert(rows((1, "b")), {"g": 1})
+    assert list(map(tuple, t.read().collect())) == [(1, "a")] and t.applied("g") == 0
+    t.upsert(rows((1, "b")), {"g": 1})
+    assert list(map(tuple, t.read().collect())) == [(1, "b")]
+    assert len(t.vacuum(10**15)) == 1 and list(map(tuple, t.read().collect())) == [(1, "b")]
+    for name, _ in t.store.list("manifests"):
+        t.store.delete(f"manifests/{name}")
+    with pytest.raises(StorageError, match="no manifest"):
+        t.read()
+
+
+def test_parts_are_merged_by_levels(spark, tmp_path, monkeypatch):
+    from weirline.streaming import target
+
+    monkeypatch.setattr(target, "FANOUT", 2)
+    t, want = table(spark, tmp_path), {}
+    for k in range(7):
+        want |= {k: f"v{k}", 0: f"zero{k}"}
+        t.upsert(spark.createDataFrame([(k, f"v{k}"), (0, f"zero{k}")][k == 0 :], COLUMNS), {"g": k})
+        assert dict(map(tuple, t.read().collect())) == want
+    assert [p["level"] for p in t.manifest()["parts"]] == [2, 1, 0]
+
+
+def test_store_replaces_and_creates_whole_objects(spark, tmp_path):
+    from weirline.sources.store import normal_root
+
+    s = Store(spark, f"{tmp_path}//x/")
+    s.put("k", "one")
+    s.put("k", "two")
+    assert s.get("k") == "two" and not s.create("k", "three") and s.create("new", "four") and s.get("new") == "four" and s.get("none") is None
+    assert [n for n, _ in s.list("")] == ["k", "new"]
+    assert normal_root("s3://e//b/p//") == "s3://e/b/p" and normal_root("/a//b/") == "/a/b"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from enum import Enum
 
@@ -32,9 +33,16 @@ RANGES = {
     "staging_refresh_interval": (30 * SEC, 24 * HOUR),
     "rotation_queue_depth": (1, 16),
     "staging_error_after_attempts": (1, 10_000),
+    "lag_sample_interval": (1 * SEC, 1 * HOUR),
+    "state_heartbeat_interval": (1 * MINUTE, 1 * DAY),
 }
 
 
+def backoff(attempt: int) -> float:
+    """Seconds to wait after the attempt of this number (from 1)."""
+    return min(30.0, 2.0 ** (attempt - 1))
+
+
 @dataclass
 class Credentials:
     key_id: str = field(repr=False)
@@ -63,13 +71,23 @@ class Config:
     lock_lease_timeout: float = 180 * SEC
     staging_refresh_interval: float = 5 * MINUTE
     rotation_queue_depth: int = 3
+    #: Attempts at staging a file after which its writer reports the failure; the file stays and is tried again.
     staging_error_after_attempts: int = 3
+    lag_sample_interval: float = 30 * SEC
+    state_heartbeat_interval: float = 4 * HOUR
+    #: Seconds for which opening waits for a live lease to be released, and that a lease taken over settles.
+    lock_wait: float = 10 * SEC
+    lock_settle: float = 1 * SEC
     delimiter: str = ","
     mode: Mode = Mode.UPSERT
     compression: Compression = Compression.GZIP
-    #: Buckets of a target table: an upsert rewrites only those that it touches.
+    #: Files of a load's part of a target table, dealt by key.
     buckets: int = 64
     credentials: Credentials | None = None
+    #: Gives credentials anew, every staging_refresh_interval and once where the store denies access.
+    refresh: Callable[[], Credentials] | None = None
+    #: Whether writers run their chores (age, heartbeat, lag, state, clean-up) in a thread; else call `tick`.
+    ticker: bool = True
     bypass_range_checks: bool = False
 
     def check(self) -> Config:
@@ -89,4 +107,8 @@ class Config:
             raise ConfigError("lock_lease_timeout is three heartbeats at least and a day at most")
         if self.retry_max is not None and self.retry_max < 0:
             raise ConfigError("retry_max can't be negative")
+        # Staged files outlive what may still want them: a takeover, and all tries of a load.
+        horizon = self.lock_lease_timeout + sum(backoff(k) for k in range(1, (self.retry_max or 0) + 1))
+        if horizon >= self.gc_retain_days * DAY:
+            raise ConfigError(f"a takeover and retries may take {horizon:.0f} s, longer than staged files are kept")
         return self

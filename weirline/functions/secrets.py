@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from ..errors import ConfigError
 
 HIDDEN = "******"
 _OPTION = re.compile(r"""(access_key_id|secret_access_key)(\s*=['"\s]*)([^,'"\s]*)""", re.IGNORECASE)
-_WORD = re.compile(r"""(password\s*=\s*)('(?:[^'\\]|\\.)*'|\S+)""", re.IGNORECASE)
+_WORD = re.compile(r"""(password\s*=\s*)('(?:[^'\\]|\\.)*(?:'|\Z)|\S+)""", re.IGNORECASE)
 
 
 def mask(secret: Column) -> Column:
@@ -33,10 +32,13 @@ def mask_options(options: str) -> str:
 
 
 def mask_dsn(dsn: str) -> str:
-    """The password of a connection string, in key=value or URL form, is hidden."""
+    """The password of a connection string, in key=value or URL form, is hidden. In a URL it reaches from the first
+    colon behind the scheme to the first @ (it may hold a slash); a quoted one that isn't closed reaches to the end."""
     if "://" in dsn:
-        url = urlsplit(dsn)
-        return dsn.replace(f":{url.password}@", ":***@", 1) if url.password else dsn
+        scheme, _, rest = dsn.partition("://")
+        user, at, host = rest.partition("@")
+        name, colon, password = user.partition(":")
+        return f"{scheme}://{name}:***@{host}" if at and colon else dsn
     return _WORD.sub(r"\1***", dsn)
 
 

@@ -1,25 +1,42 @@
-"""Small objects and listings on any store that Hadoop's file systems reach, from the driver."""
+"""Small objects and listings on any store that Hadoop's file systems reach, from the driver; no Spark jobs."""
 
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from ..errors import StorageError
 
 
+def normal_root(root: str) -> str:
+    """A root without slashes at its end or doubled ones inside; the scheme's own stay."""
+    scheme, sep, rest = root.partition("://")
+    if not sep:
+        scheme, rest = "", root
+    lead = "/" if rest.startswith("/") else ""
+    return scheme + sep + lead + "/".join(p for p in rest.split("/") if p)
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root = spark, normal_root(root)
         context = spark.sparkContext
-        self._jvm = context._jvm
-        self._fs = self._jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(context._jsc.hadoopConfiguration())
+        self._jvm, self._gateway, self._conf = context._jvm, context._gateway, context._jsc.hadoopConfiguration()
+        self._fs = self._jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(self._conf)
+        self._local = self._fs.getUri().getScheme() == "file"
 
     def path(self, key: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{key}" if key else self.root)
 
+    def uri(self, key: str) -> str:
+        """The object's full address."""
+        return self._fs.makeQualified(self.path(key)).toString().replace("file:/", "file:///", 1) if self._local else self._fs.makeQualified(self.path(key)).toString()
+
     def list(self, folder: str) -> list[tuple[str, int]]:
         """Names and sizes of the files in a folder, sub-folders left out, sorted; none if there is no folder."""
         path = self.path(folder)
@@ -27,44 +44,77 @@ class Store:
             return []
         return sorted((s.getPath().getName(), s.getLen()) for s in self._fs.listStatus(path) if s.isFile())
 
+    def folders(self, folder: str) -> list[tuple[str, int]]:
+        """Names of the sub-folders of a folder and when they last changed, in ms; sorted."""
+        path = self.path(folder)
+        if not self._fs.exists(path):
+            return []
+        return sorted((s.getPath().getName(), s.getModificationTime()) for s in self._fs.listStatus(path) if s.isDirectory())
+
     def exists(self, key: str) -> bool:
         return self._fs.exists(self.path(key))
 
     def delete(self, key: str) -> bool:
         return self._fs.delete(self.path(key), True)
 
-    def put(self, key: str, text: str) -> None:
-        """The whole object or none: written beside and moved into place."""
-        target, beside = self.path(key), self.path(f"{key}.writing")
-        self._fs.mkdirs(target.getParent())
-        out = self._fs.create(beside, True)
+    def _beside(self, key: str, data: bytes):
+        """The content under a name of its own."""
+        path = self.path(f"{key}.{uuid.uuid4().hex}.writing")
+        self._fs.mkdirs(path.getParent())
+        out = self._fs.create(path, True)
         try:
-            out.write(bytearray(text.encode()))
+            out.write(bytearray(data))
         finally:
             out.close()
-        self._fs.delete(target, False)
-        if not self._fs.rename(beside, target):
-            raise StorageError(f"{key} could not be moved into place")
+        return path
 
-    def create(self, key: str, text: str) -> bool:
-        """Write only where nothing is yet; whether it was written."""
-        path = self.path(key)
-        self._fs.mkdirs(path.getParent())
+    def _rename(self, source, target, overwrite: bool) -> None:
+        kind = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE if overwrite else kind.NONE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), self._conf).rename(source, target, options)
+
+    def put(self, key: str, content: str | bytes) -> None:
+        """The whole object or the one before: written beside, then moved over what is there in one step."""
+        beside = self._beside(key, content.encode() if isinstance(content, str) else content)
+        try:
+            self._rename(beside, self.path(key), overwrite=True)
+        except Py4JJavaError as e:
+            self._fs.delete(beside, False)
+            raise StorageError(f"{key} could not be moved into place") from e
+
+    def create(self, key: str, content: str) -> bool:
+        """The whole object, only where nothing is yet; whether it was written. Of several at once one succeeds."""
+        beside, target = self._beside(key, content.encode()), self.path(key)
         try:
-            out = self._fs.create(path, False)
-        except Exception:
-            if self._fs.exists(path):
+            if self._local:
+                os.link(beside.toUri().getPath(), target.toUri().getPath())
+            elif self._fs.exists(target):
                 return False
-            raise
-        out.write(bytearray(text.encode()))
-        out.close()
-        return True
+            else:
+                self._rename(beside, target, overwrite=False)
+            return True
+        except FileExistsError:
+            return False
+        except Py4JJavaError as e:
+            if self._fs.exists(target):
+                return False
+            raise StorageError(f"{key} could not be created") from e
+        finally:
+            self._fs.delete(beside, False)
 
     def get(self, key: str) -> str | None:
         """The object's text; None if there is none."""
-        if not self.exists(key):
-            return None
-        return "".join(r[0] for r in self.spark.read.text(f"{self.root}/{key}", wholetext=True).collect())
+        try:
+            source = self._fs.open(self.path(key))
+        except Py4JJavaError as e:
+            if not self._fs.exists(self.path(key)):
+                return None
+            raise StorageError(f"{key} could not be read") from e
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
 
     def get_json(self, key: str) -> Any | None:
         """The object parsed; None if there is none; an error if it is damaged."""

@@ -6,19 +6,42 @@ runs again after a crash gives the same names, and the gate in the manifest drop
 
 from __future__ import annotations
 
+import logging
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config, Mode
+from ..errors import WriterFenced
 from ..functions import naming
 from ..operators.tables import last_wins
 from ..sources.staging import read_files, write_files
 from ..sources.store import Store
 from ..types import TableSchema
+from .lease import Lease
 from .target import Target
 
 
+log = logging.getLogger("weirline")
+
+#: This process's streams by their folder: lease and query.
+_live: dict[str, tuple[Lease, StreamingQuery]] = {}
+
+
+def _keep(lease: Lease, query: StreamingQuery, interval: float) -> None:
+    """Renew the lease while the query runs, also where no rows come; then release it."""
+    try:
+        while not query.awaitTermination(interval):
+            lease.heartbeat()
+    except WriterFenced:
+        query.stop()
+    except Exception as e:
+        log.error("the stream ended: %s", str(e)[:300])
+    lease.release()
+
+
 def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int, checkpoint: str, partition: str = "partition", offset: str = "offset", mode: Mode | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Run a stream of rows with a partition and an offset column. Partitions are streams of their own: each
     gets its own file, group and watermark; rows of one key belong in one partition."""
@@ -26,16 +49,23 @@ def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int,
     mode = mode or config.mode
     schema.check(upsert=mode is Mode.UPSERT)
     spark = stream.sparkSession
-    target = Target(spark, f"{config.root.rstrip('/')}/tables/{schema.db_id}/{schema.rel_id}", schema.columns, schema.key, config.buckets)
     store = Store(spark, config.root)
+    target = Target(spark, f"{store.root}/tables/{schema.db_id}/{schema.rel_id}", schema.columns, schema.key if mode is Mode.UPSERT else (), config.buckets)
     names = schema.columns.names
     folder = f"staging/{config.cluster_id}/{schema.db_id}/{schema.rel_id}"
     compressed = config.compression.value == "gzip"
+    # One live query a table and checkpoint; a query that was overtaken ends at its next micro-batch.
+    place = f"{store.root}/{folder}"
+    if place in _live and not _live[place][1].isActive:
+        _live.pop(place)[0].release()
+    lease = Lease(store, f"{folder}/_meta/stream-lease.json", config.lock_lease_timeout, settle=config.lock_settle, wait=config.lock_wait)
+    lease.acquire()
 
     def one(rows: DataFrame, batch_id: int) -> None:
         seq = batch_id & naming.SEQ_MAX
         epoch = epoch_ms + (batch_id >> naming.SEQ_BITS)
         serial = naming.encode(epoch, seq)
+        lease.heartbeat()
         rows = rows.persist()
         try:
             ranges = {r["p"]: (r["lo"], r["hi"]) for r in rows.groupBy(F.col(partition).cast("string").alias("p")).agg(F.min(offset).alias("lo"), F.max(offset).alias("hi")).collect()}
@@ -44,9 +74,8 @@ def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int,
             due = {p: r for p, r in ranges.items() if serial > done.get(group(p), -1)}
             if not due:
                 return
-            uris = {p: f"{store.root}/{folder}/p{p}/{epoch:013d}-{seq:07d}-o{lo}-{hi}.csv" + ".gz" * compressed for p, (lo, hi) in due.items()}
-            full = {p: u if "://" in u else f"file://{u}" for p, u in uris.items()}
-            uri = F.element_at(F.create_map(*[F.lit(x) for kv in full.items() for x in kv]), F.col(partition).cast("string"))
+            uris = {p: store.uri(f"{folder}/p{p}/{epoch:013d}-{seq:07d}-o{lo}-{hi}.csv" + ".gz" * compressed) for p, (lo, hi) in due.items()}
+            uri = F.element_at(F.create_map(*[F.lit(x) for kv in uris.items() for x in kv]), F.col(partition).cast("string"))
             data = rows.filter(F.col(partition).cast("string").isin(list(due))).withColumn("_uri", uri)
             if mode is Mode.UPSERT:
                 data = last_wins(data.select(*names, offset, "_uri"), list(schema.key), F.col(offset), ["_uri"])
@@ -55,6 +84,7 @@ def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int,
             rows.unpersist()
         loaded = read_files(spark, sorted(uris.values()), schema.columns, config.delimiter)
         applied = {group(p): serial for p in due}
+        lease.verify()
         if mode is Mode.UPSERT:
             # Streams share no keys by contract; where they do, the order of files and rows decides.
             target.upsert(last_wins(loaded, list(schema.key), F.struct("_file", "_ord")).select(*names), applied)
@@ -62,4 +92,11 @@ def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int,
             target.append(loaded.select(*names), applied)
 
     out = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
-    return out.trigger(**(trigger or {"processingTime": f"{config.rotate_interval_max:g} seconds"})).start()
+    try:
+        query = out.trigger(**(trigger or {"processingTime": f"{config.rotate_interval_max:g} seconds"})).start()
+    except BaseException:
+        lease.release()
+        raise
+    _live[place] = lease, query
+    threading.Thread(target=_keep, args=(lease, query, config.lock_heartbeat_interval), name="weirline-stream", daemon=True).start()
+    return query
