@@ -20,24 +20,27 @@ def col(name: str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only where unset, a local one is set."""
+    """The folder all executors share: spark.checkpoint.dir; a local one only where unset and Spark is local itself."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not current.isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weirline-"))
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
     return current.get().rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str, **options: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, by: str | None = None, **options: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: the lineage ends there,
-    so a lost executor costs no more than a re-read. The table's place is in `.weirline_path`."""
+    so a lost executor costs no more than a re-read. The table's place is in `.weirline_path`; by: a column
+    whose values have a folder each."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/weirline-{tag}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path, partitionBy=by)
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns) if by else spark.read.schema(df.schema).parquet(path)
     out.weirline_path = path
     return out
 
@@ -51,9 +54,19 @@ def stable(df: DataFrame) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Delete written tables that nothing reads any more."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table.weirline_path)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(table, table.weirline_path)
+
+
+def _delete(table: DataFrame, place: str) -> None:
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_part(table: DataFrame, by: str, *values: str) -> None:
+    """Delete the rows with these values of a table written `by` the column."""
+    for value in values:
+        _delete(table, f"{table.weirline_path}/{by}={value}")
 
 
 def lookup(rows: DataFrame, index: DataFrame, key: str, weight: str, total: int, heavy: int = 512) -> DataFrame:

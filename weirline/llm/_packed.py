@@ -9,6 +9,7 @@ Senders pack a key once, however often they saw it: a hot key is one number for
 
 from __future__ import annotations
 
+import gc
 import struct
 from collections.abc import Callable, Iterable, Iterator
 
@@ -18,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import map_arrow, materialize
+from ._common import map_arrow, materialize, release_part
 
 SCHEMA = "bucket int, source long, kind string, data binary"
 _ARROW = pa.schema([("bucket", pa.int32()), ("source", pa.int64()), ("kind", pa.string()), ("data", pa.binary())])
@@ -148,8 +149,9 @@ def owners(fn: Callable[[int, Mail], Iterable[Row]]) -> Callable[[Iterator[pa.Re
 
 
 def step(fn: Callable[[int, Mail], Iterable[Row]], tag: str, *tables: DataFrame, parts: int) -> DataFrame:
-    """Deal the tables' rows to their owners and write what these send."""
-    out = materialize(send(deal(*tables, parts=parts), owners(fn)), tag, compression="none", **{"parquet.enable.dictionary": "false"})
+    """Deal the tables' rows to their owners and write what these send, a folder for each kind."""
+    out = materialize(send(deal(*tables, parts=parts), owners(fn)), tag, by="kind", compression="none", **{"parquet.enable.dictionary": "false"})
+    gc.collect()
     # The shuffles behind a written table aren't read again; their files go with the driver's garbage.
     out.sparkSession.sparkContext._jvm.System.gc()
     return out
@@ -167,6 +169,11 @@ def kind_of(table: DataFrame, *kinds: str) -> DataFrame:
     return table.filter(F.col("kind").isin(*kinds))
 
 
+def drop(table: DataFrame, *kinds: str) -> None:
+    """Delete a step's rows of these kinds."""
+    release_part(table, "kind", *kinds)
+
+
 def fetch(table: DataFrame, kind: str) -> list[list[np.ndarray]]:
     """The values of a kind, which are small, at the driver."""
     return [unpack(bytes(r.data)) for r in kind_of(table, kind).select("data").collect()]

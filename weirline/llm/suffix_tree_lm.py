@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import col, id_text, map_arrow, release, stable
-from ._packed import Mail, Row, addressed, buckets, deal, fetch, find, kind_of, owners, pack, send, step, unpack
+from ._packed import Mail, Row, addressed, buckets, deal, drop, fetch, find, kind_of, owners, pack, send, step, unpack
 
 #: Least relative entropy of a context to its suffix, longest context, and discount of a kept count.
 MIN_DIVERGENCE, DEPTH, DISCOUNT = 0.01, 2, 0.5
@@ -349,12 +349,12 @@ def _answer(length: int, total: int):
         weight = 1 - mass / n
         for source, keys, _ in asked:
             at = find(key, keys)[0]
-            yield source, bucket, "context is", pack(keys, n[at], weight[at])
+            yield source, bucket, "context_is", pack(keys, n[at], weight[at].astype(np.float32))
         for source, data in mail["suffix"]:
             (keys,) = unpack(data)
-            yield source, bucket, "suffix is", pack(keys, p[find(key, keys)[0]])
+            yield source, bucket, "suffix_is", pack(keys, p[find(key, keys)[0]].astype(np.float32))
         on = mass > 0
-        yield bucket, 0, "node", pack(key[on], n[on], weight[on], suffix[on])
+        yield bucket, 0, "node", pack(key[on], n[on], weight[on].astype(np.float32), suffix[on])
 
     return run
 
@@ -367,20 +367,20 @@ def _weigh(last: bool, discount: float, parts: int):
         if not mail["own"]:
             return
         key, context, suffix, n = mail.columns("own", 4)
-        keys, size, weight = mail.columns("context is", 3)
+        keys, size, weight = mail.columns("context_is", 3)
         order = np.argsort(keys)
         at = order[find(keys[order], context)[0]]
-        size, weight = size[at], weight[at]
-        keys, below = mail.columns("suffix is", 2)
+        size, weight = size[at], weight[at].astype(np.float64)
+        keys, below = mail.columns("suffix_is", 2)
         order = np.argsort(keys)
-        below = below[order[find(keys[order], suffix)[0]]]
+        below = below[order[find(keys[order], suffix)[0]]].astype(np.float64)
         p = (n - discount) / size + weight * below
         value = np.log10(p) - np.log10(weight) - np.log10(below)
         contexts, place = np.unique(context, return_inverse=True)
-        yield from addressed("sum", bucket, parts, contexts, np.bincount(place, p * np.log(p / below)), np.bincount(place, below))
+        yield from addressed("sum", bucket, parts, contexts, np.bincount(place, p * np.log(p / below)).astype(np.float32), np.bincount(place, below).astype(np.float32))
         if last:
             suffix, p = suffix * np.uint64(0), p * 0
-        yield bucket, 0, "own", pack(key, context, suffix, n, p, value)
+        yield bucket, 0, "own", pack(key, context, suffix, n, p.astype(np.float32), value.astype(np.float32))
 
     return run
 
@@ -392,6 +392,7 @@ def _settle(length: int, least: float, parts: int):
         if not mail["node"]:
             return
         key, n, weight, suffix = mail.columns("node", 4)
+        weight = weight.astype(np.float64)
         gain, rest, asked = np.zeros(len(key)), np.zeros(len(key)), [(source, *unpack(data)) for source, data in mail["sum"]]
         for _, keys, g, r in asked:
             at = find(key, keys)[0]
@@ -403,7 +404,7 @@ def _settle(length: int, least: float, parts: int):
         for source, keys, *_ in asked:
             yield source, bucket, "stays", pack(keys[stays[find(key, keys)[0]]])
         if stays.any():
-            yield bucket, length, "value", pack(key[stays], np.log10(weight[stays]), n[stays])
+            yield bucket, length, "value", pack(key[stays], np.log10(weight[stays]).astype(np.float32), n[stays])
             yield _histogram(bucket, n[stays])
             yield _bits(bucket, key[stays])
             if length > 1:
@@ -451,20 +452,23 @@ def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_coun
     least = max(2, min_count)
     words = step(_own_words(least), "words", send(picked, _count_words(parts)), parts=parts)
     total, vocabulary, ends = np.sum([s for (s,) in fetch(words, "sums")] or [[0, 0, 0]], axis=0).tolist()
-    own, counted, levels = kind_of(words, "own"), [words], []
+    own, bits, levels = kind_of(words, "own"), _filter(words), []
     for length in range(2, depth + 2):
-        shared = spark.sparkContext.broadcast(_filter(counted[-1]))
+        shared = spark.sparkContext.broadcast(bits)
         grams = step(_own_grams(length, least, discount, parts), "grams", send(picked, _count_grams(shared, length, parts)), parts=parts)
         shared.destroy()
-        release(*counted[1:])
-        counted = [words, grams]
         if kind_of(grams, "own").isEmpty():
+            release(grams)
             break
+        bits = _filter(grams)
         told = step(_answer(length - 1, total + vocabulary + 1), "told", own, kind_of(grams, "context", "suffix"), parts=parts)
-        weighed = step(_weigh(length > depth, discount, parts), "weighed", kind_of(grams, "own"), kind_of(told, "context is", "suffix is"), parts=parts)
+        if length == 2:
+            drop(words, "own")
+        weighed = step(_weigh(length > depth, discount, parts), "weighed", kind_of(grams, "own"), kind_of(told, "context_is", "suffix_is"), parts=parts)
+        drop(told, "context_is", "suffix_is")
+        release(grams)
         levels.append((length, told, weighed))
         own = kind_of(weighed, "own")
-    release(*counted[1:])
     tree: list[DataFrame] = []
     needed: list[DataFrame] = []
     for length, told, weighed in reversed(levels):
@@ -593,7 +597,7 @@ def _reply(unit: float):
                 yield source & (1 << 20) - 1, source, "counted", pack(places, np.bincount(place, many * (np.log10(count + 1.0) - unit)), np.bincount(place, many * (count > 0)).astype(np.uint32))
         if mail["gram"]:
             keys, value, _ = mail.columns("value", 3)
-            keys, value = _summed(value, keys)
+            keys, value = _summed(value.astype(np.float64), keys)
             for source, data in mail["gram"]:
                 asked, text, many = unpack(data)
                 at, hit = find(keys, asked)
@@ -645,7 +649,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     order = order[np.append(True, keys[order][1:] != keys[order][:-1])] if len(order) else order
     grams, value, _ = _frequent(model.tree, "value", 3)
     # A gram's entry and context have one count: both are here or neither.
-    grams, value = _summed(value, grams)
+    grams, value = _summed(value.astype(np.float64), grams)
     known = _Known((keys[order], checks[order], n[order]), (grams, value), _filter(*model.tree), model.ends, unit, model.length, model.parts)
     shared = spark.sparkContext.broadcast(known)
     picked = stable(docs.select(col(id_col).alias("id"), col(text_col).alias("text")))
