@@ -10,7 +10,8 @@ digest covers different texts, its rows are regrouped by their whole text instea
 
 Defined results: null text counts as empty; rows that share id and text are separate rows of which
 one is kept; a null id sorts below every other in survivor order, so such a row stays only if its
-group has no other; an empty table gives an empty result. Only the id and text columns are read.
+group has no other; of rows that share id and text `drop_copies` keeps the one whose columns have the smallest
+hash; an empty table gives an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -161,7 +162,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     once = marked.filter(~F.col("hit")).select("rec.*")
     best = s.index.select("digest", F.col("best.id").alias("best_id"), "n")
     kept = lookup(marked.filter("hit").drop("hit"), best, "digest", "n", s.total).filter(F.col("id").eqNullSafe(F.col("best_id")))
-    return once.unionByName(kept.dropDuplicates(["digest"]).select("rec.*"))
+    # Rows of one id and text: the one whose columns have the smallest hash.
+    return once.unionByName(kept.groupBy("digest").agg(F.min_by("rec", F.xxhash64("rec")).alias("rec")).select("rec.*"))
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ whatever the data: that bounds what is broadcast.
 
 Defined results: `und`, score 0, if the text is null or empty, has no letter, or nothing was learned;
 repeated rows give repeated result rows; ids may be null; labels that are null don't teach. Ties go to
-the language that sorts first. An empty table gives an empty result.
+the language that sorts first. Input columns named lang_pred or score are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ EVIDENCE = 50
 #: Longest word that is counted as a word; longer ones are scored by their n-grams.
 WORD_CHARS = 64
 UNKNOWN = "und"
+#: In place of a language, for a text with letters where no language was learned.
+LETTERS = "letters"
 _WORD = re.compile(r"[^\W\d_]+")
 #: Distinct words that a task counts before it passes them on.
 COUNT_AT_MOST = 200_000
@@ -151,7 +153,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     least = F.create_map(*[F.lit(x) for lang, n in sums.items() for x in (lang, n * min_share)])
     kept = counted.filter(F.col("n") >= F.element_at(least, F.col("lang"))).collect()
     words = {(r.lang, r.word): math.log(r.n / sums[r.lang]) for r in kept}
-    grams = materialize(map_arrow(counted.select("lang", "word", "n"), _count_grams, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "grams")
+    # The words are few and small, their n-grams many: they are dealt to all tasks again.
+    spread = counted.select("lang", "word", "n").repartition(int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    grams = materialize(map_arrow(spread, _count_grams, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "grams")
     gram_sums = {(r.lang, r.size): r.n for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
     bound = F.create_map(*[F.lit(x) for (lang, size), n in gram_sums.items() for x in (f"{size}{lang}", n * min_share)])
     kept = grams.filter(F.col("n") >= F.element_at(bound, F.concat(F.col("size").cast("string"), "lang"))).collect()
@@ -160,10 +164,18 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     return Model(langs, words, logs, floors)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score."""
+def has_letter(text: str | None) -> bool:
+    # Runs may hold numbers that are no decimal digits (such as fractions): one letter at least is asked for.
+    return bool(text) and any(c.isalpha() for w in _WORD.finditer(text) for c in w[0])
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text", lettered: bool = False) -> DataFrame:
+    """docs with lang_pred and score, in place of columns of these names; lettered: a text with letters is told from one
+    without where nothing was learned."""
     from pyspark.sql import types as T
 
+    docs = docs.drop("lang_pred", "score")
+
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -172,7 +184,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 2_000):
                 part = batch.slice(start, 2_000)
-                found = [model.predict(t.as_py()) for t in part.column(at)]
+                if lettered and not model.langs:
+                    found = [(LETTERS if has_letter(t.as_py()) else UNKNOWN, 0.0) for t in part.column(at)]
+                else:
+                    found = [model.predict(t.as_py()) for t in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -192,8 +207,16 @@ def op6_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """docs less those whose language can't be told (`und`): null, empty or without a letter."""
-    model = train(docs, text_col, lang_col)
-    names = docs.columns
-    tagged = predict(docs.select(F.struct("*").alias("rec"), col(text_col).alias("text")), model)
-    return tagged.filter(F.col("lang_pred") != UNKNOWN).select(*[F.col("rec")[n].alias(n) for n in names])
+    """docs less those without a language: null, empty or without a letter. Those that stay and have no label get the
+    predicted one, if any was learned.
+
+    Whether a text has a language is told by its letters, so no document goes for want of labels; and where no row
+    lacks one, no model is needed.
+    """
+    names, at = docs.columns, docs.columns.index(lang_col)
+    missing = docs.filter(col(lang_col).isNull()).select(col(text_col).alias("text"))
+    model = Model([], {}, {}, {}) if missing.isEmpty() else train(docs, text_col, lang_col)
+    tagged = predict(docs.select(F.struct("*").alias("rec"), col(text_col).alias("text")), model, lettered=True)
+    known = F.when(F.col("lang_pred").isin(UNKNOWN, LETTERS), None).otherwise(F.col("lang_pred"))
+    kept = tagged.filter(F.col("lang_pred") != UNKNOWN)
+    return kept.select(*[F.col("rec")[n].alias(n) if k != at else F.coalesce(F.col("rec")[n], known.cast(docs.schema[n].dataType)).alias(n) for k, n in enumerate(names)])

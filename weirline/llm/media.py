@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 
 from ._common import col, map_arrow
 
+#: Pixels of the largest image that is decoded: a header may promise any number.
+MOST_SAMPLES = 1 << 30
 #: Samples in a row of a stored payload.
 ROW = 64
 _TOKEN = re.compile(rb"\s*(?:#[^\n\r]*[\n\r]\s*)*(\d+)")
@@ -50,15 +52,20 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         numbers.append(int(m[1]))
         at = m.end()
     w, h, top = (*numbers, 1)[:3]
-    if w < 1 or h < 1 or not 0 < top < 65536:
+    if w < 1 or h < 1 or w * h > MOST_SAMPLES or not 0 < top < 65536:
         raise ValueError("a Netpbm header out of range")
     depth = 3 if kind in (b"P3", b"P6") else 1
     n = w * h * depth
     if kind == b"P1":
         bits = re.sub(rb"#[^\n\r]*|\s+", b"", data[at:])[:n]
+        if bits.strip(b"01"):
+            raise ValueError("Netpbm bits other than 0 and 1")
         values = 1 - (np.frombuffer(bits, np.uint8) - 48)
     elif kind in (b"P2", b"P3"):
-        values = np.array(re.sub(rb"#[^\n\r]*", b"", data[at:]).split()[:n], dtype=np.uint16)
+        held = re.sub(rb"#[^\n\r]*", b"", data[at:]).split()[:n]
+        if not all(x.isdigit() and len(x) < 9 for x in held):
+            raise ValueError("Netpbm samples that are no numbers")
+        values = np.array(list(map(int, held)), dtype=np.int64)
     else:
         body = data[at + 1 :]
         if kind == b"P4":
@@ -73,8 +80,9 @@ def decode_netpbm(data: bytes) -> np.ndarray:
             values = np.frombuffer(body[: n * size], ">u2" if size == 2 else np.uint8)
     if len(values) != n:
         raise ValueError("Netpbm samples that end early")
-    if top < 256:
-        values = values.astype(np.uint8, copy=False)
+    if n and int(values.max()) > top:
+        raise ValueError("a Netpbm sample beyond the largest")
+    values = values.astype(np.uint8 if top < 256 else np.uint16, copy=False)
     return values.reshape((h, w, 3) if depth == 3 else (h, w))
 
 
@@ -99,7 +107,7 @@ def decode_bmp(data: bytes) -> np.ndarray:
         raise ValueError("no BMP image")
     start, = struct.unpack_from("<I", data, 10)
     size, w, h, _, bits, packed = struct.unpack_from("<IiiHHI", data, 14)
-    if size < 40 or packed not in (0, 3) or packed == 3 and bits != 32 or bits not in (1, 4, 8, 24, 32) or w < 1 or not h:
+    if size < 40 or packed not in (0, 3) or packed == 3 and bits != 32 or bits not in (1, 4, 8, 24, 32) or w < 1 or not h or w * abs(h) > MOST_SAMPLES:
         raise ValueError("a BMP of a form that is not supported")
     used, = struct.unpack_from("<I", data, 46)
     line = (w * bits + 31) // 32 * 4
@@ -110,13 +118,18 @@ def decode_bmp(data: bytes) -> np.ndarray:
     rows = rows[::-1] if h > 0 else rows
     if bits >= 24:
         return np.ascontiguousarray(rows[:, : w * bits // 8].reshape(abs(h), w, bits // 8)[:, :, 2::-1])
-    palette = np.frombuffer(data[14 + size : 14 + size + 4 * (used or 1 << bits)], np.uint8).reshape(-1, 4)[:, 2::-1]
+    held = data[14 + size : 14 + size + 4 * min(used or 1 << bits, 1 << bits)]
+    if len(held) % 4 or not held:
+        raise ValueError("a BMP palette that ends early")
+    palette = np.frombuffer(held, np.uint8).reshape(-1, 4)[:, 2::-1]
     if bits == 8:
         index = rows[:, :w]
     elif bits == 4:
         index = np.stack([rows >> 4, rows & 15], axis=2).reshape(abs(h), -1)[:, :w]
     else:
         index = np.unpackbits(rows, axis=1)[:, :w]
+    if int(index.max()) >= len(palette):
+        raise ValueError("a BMP sample beyond the palette")
     colours = palette[index]
     return np.ascontiguousarray(colours[:, :, 0]) if (palette == palette[:, :1]).all() else colours
 
@@ -182,8 +195,8 @@ def media_tiles(media: DataFrame, id_col: str, media_col: str, size: int = 32) -
                     try:
                         image = decode(data)
                         row |= {"height": image.shape[0], "width": image.shape[1], "channels": 1 if image.ndim == 2 else 3, "tile": npy(tile_of(image, size)), "dhash": f"{difference_hash(grey(image)):016x}"}
-                    except (ValueError, struct.error) as e:
-                        row["error"] = str(e)
+                    except (ValueError, struct.error, IndexError, OverflowError, MemoryError) as e:
+                        row["error"] = str(e) or type(e).__name__
                 rows.append(row)
             kinds = [("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("tile", pa.binary()), ("dhash", pa.string()), ("error", pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(to_arrow_type(kind)), *(pa.array([r[k] for r in rows], t) for k, t in kinds)], names=["id", *(k for k, _ in kinds)])

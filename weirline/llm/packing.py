@@ -35,6 +35,8 @@ from ._common import col, map_arrow, materialize
 CAPACITY, CLOSE = 4096, 1
 #: Words whose ids a worker remembers; it forgets all when there are more.
 CACHE_WORDS = 500_000
+#: Longest word that is remembered.
+CACHE_CHARS = 64
 
 
 def default_tokenizer() -> str:
@@ -113,8 +115,13 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
         for held in (known, cores):
             if len(held) > CACHE_WORDS:
                 held.clear()
-        _learn(list(set().union(*cut).difference(known)), tokenizer, known, cores)
+        new = set().union(*cut).difference(known)
+        _learn(list(new), tokenizer, known, cores)
         out += [b"".join(map(known.__getitem__, words)) for words in cut]
+        # Long words (in scripts without spaces a text is one) are forgotten at once: the cache is bounded in bytes, too.
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del known[w]
     return out
 
 
@@ -218,7 +225,9 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int |
 
 
 def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.05, 0.05), rule: str = "dot", salts: int | None = None) -> DataFrame:
-    """items with sequence_id and offset. Items are read several times: pass a written table."""
+    """items with sequence_id and offset, in place of columns of these names. Items are read several times: pass a
+    written table."""
+    items = items.drop("sequence_id", "offset")
     spark = items.sparkSession
     total = items.count()
     salts = salts or max(8, total // 1_000_000)

@@ -1,8 +1,8 @@
 """Secret scans by a trigram inverted index.
 
 From each rule's regular expression a Boolean query over trigrams is derived: an AND/OR tree that every
-match must satisfy, in the spirit of trigram code search. An index segment (a batch of texts) keeps
-postings for the trigrams that the rules ask for; a rule's query intersects and unites postings, and the
+match must satisfy, in the spirit of trigram code search. An index segment (a batch of texts) is cut into all its
+trigrams, once, and keeps the postings of those that the rules ask for; a rule's query intersects and unites postings, and the
 candidates are verified with the rule itself on their whole text. A rule without mandatory trigrams scans
 every text. Segments are built, queried and dropped by the task that reads the texts, so nothing is
 shuffled and no posting list is longer than a segment; the postings can also be written for other rule
@@ -18,9 +18,11 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from re import _constants as sre  # noqa: PLC2701
 from re import _parser as sre_parser  # noqa: PLC2701
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -135,12 +137,12 @@ def trigrams_of(query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*(trigrams_of(x) for x in query[1]))
 
 
-def evaluate(query, postings: dict[str, set[int]], everything: set[int]) -> set[int]:
+def evaluate(query, postings: dict, everything: set[int]) -> set[int]:
     """The texts that satisfy a query."""
     if query is None:
         return everything
     if isinstance(query, str):
-        return postings.get(query, set())
+        return set(map(int, postings.get(query, ())))
     parts = sorted((evaluate(x, postings, everything) for x in query[1]), key=len)
     return set.intersection(*parts) if query[0] == "and" else set.union(*parts)
 
@@ -185,13 +187,48 @@ RULES = BASE + MORE
 
 Span = tuple[str, int, int]
 
+#: By byte: A-Z lower-cased.
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
+
+
+@lru_cache(maxsize=4)
+def _numbers(wanted: tuple[str, ...]) -> np.ndarray:
+    """By three bytes as a number: the place of the wanted trigram that they are, from 1; 0 for all others."""
+    out = np.zeros(1 << 24, np.uint16)
+    for place, g in enumerate(wanted, 1):
+        raw = g.encode()
+        if len(raw) != 3:
+            raise ValueError(f"{g!r} is no trigram of ASCII characters")
+        out[raw[0] << 16 | raw[1] << 8 | raw[2]] = place
+    return out
+
+
+def build_index(texts: list[str], wanted: tuple[str, ...]) -> dict[str, np.ndarray]:
+    """A segment's postings: all texts are cut into their trigrams, and of each wanted one the ascending places
+    of the texts that hold it are kept."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
+    # A zero byte between texts: no wanted trigram reaches over it.
+    data = _LOW[np.frombuffer(b"\0".join([*raw, b""]), np.uint8)]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    numbers = _numbers(wanted)
+    for start in range(0, len(data), 1 << 22):
+        part = data[start : start + (1 << 22) + 2].astype(np.uint32)
+        found = numbers[part[:-2] << 16 | part[1:-1] << 8 | part[2:]]
+        at = np.flatnonzero(found)
+        held.append((found[at].astype(np.int64), np.searchsorted(ends, at + start, side="right")))
+    number, text = (np.concatenate(c) for c in zip(*held, strict=True)) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    both = np.unique(number * (len(texts) + 1) + text)
+    number, text = both // (len(texts) + 1), both % (len(texts) + 1)
+    cuts = np.searchsorted(number, np.arange(1, len(wanted) + 2))
+    return {g: text[cuts[k] : cuts[k + 1]] for k, g in enumerate(wanted) if cuts[k] < cuts[k + 1]}
+
 
 def scan(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[list[Span]]:
     """Spans (kind, start, end) of each text of one index segment, by start, then by the rules' order."""
     queries = [trigram_query(r.pattern, r.flags) for r in rules]
-    folded = [t.translate(_FOLD) if not t.isascii() else t.lower() for t in texts]
-    wanted = set().union(*map(trigrams_of, queries))
-    postings = {g: {i for i, t in enumerate(folded) if g in t} for g in wanted}
+    postings = build_index(texts, tuple(sorted(set().union(*map(trigrams_of, queries)))))
     everything = set(range(len(texts)))
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for rank, (rule, query) in enumerate(zip(rules, queries, strict=True)):
@@ -206,15 +243,14 @@ def scan(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[list[Span]]:
 
 def index_postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", segment: int = 10_000) -> DataFrame:
     """The segments' postings for the trigrams of a rule set: segment, trigram, texts (places in the segment)."""
-    wanted = sorted(set().union(*(trigrams_of(trigram_query(r.pattern, r.flags)) for r in rules)))
+    wanted = tuple(sorted(set().union(*(trigrams_of(trigram_query(r.pattern, r.flags)) for r in rules))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, segment):
-                folded = [(t or "").translate(_FOLD) for t in batch.column(0).slice(at, segment).to_pylist()]
-                rows = [(g, [i for i, t in enumerate(folded) if g in t]) for g in wanted]
-                rows = [x for x in rows if x[1]]
+                index = build_index([t or "" for t in batch.column(0).slice(at, segment).to_pylist()], wanted)
+                rows = [(g, places.tolist()) for g, places in index.items()]
                 yield pa.RecordBatch.from_arrays([pa.array([task << 32 | number] * len(rows), pa.int64()), pa.array([g for g, _ in rows], pa.string()), pa.array([p for _, p in rows], pa.list_(pa.int32()))], names=["segment", "trigram", "texts"])
                 number += 1
 

@@ -9,7 +9,7 @@ probe's key is the longest rule for that suffix. A partition's opening rule is c
 partitions before it. Equal keys are spread by row number, so a hot URL is not one task.
 
 Defined results: null or malformed URL (no `://`): host and path empty, no rule. Of fitting rules the
-longest by host + path wins, then the longer host, then block over allow. Repeated rules count once.
+longest by host + path wins, then the longer host, then block over allow. Repeated rules count once; a rule with a null host, path or verdict is none.
 An empty rule table gives the default verdict to all. Only the id and url columns are read. The
 number of probes of a URL is its host's number of labels.
 """
@@ -43,6 +43,7 @@ def rule_key(host: Column, path: Column) -> Column:
 def _with_stacks(rules: DataFrame) -> DataFrame:
     """Distinct rules with the stack of rules that enclose each, itself included, longest key first."""
     best = F.max(F.struct((F.col("verdict") == "block").alias("first"), F.col("verdict").alias("verdict"))).getField("verdict")
+    rules = rules.filter("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL")
     r = rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").withColumn("key", rule_key(F.col("host"), F.col("path"))).groupBy("key", "host", "path").agg(best.alias("verdict"))
     # Every prefix of a rule's key, longest first, looked up among the keys: as many as its length.
     ends = r.select("key", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("n")).select("key", F.expr("substring(key, 1, n)").alias("outer"))
