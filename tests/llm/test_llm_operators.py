@@ -457,6 +457,91 @@ def test_url_filter(spark):
     assert url_filter.url_filter(df, table.limit(0)).filter("rule IS NULL AND verdict = 'allow'").count() == len(urls)
 
 
+# ---- findings of review r02
+
+
+def test_messages_that_are_repeated_nameless_or_linked_across_trees(spark):
+    m = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 1.0), (1, 2, 1, "assistant", "a", 1.0), (1, 3, 2, "user", "r", 1.0), (2, 1, None, "user", "other", 0.0), (2, 9, 3, "user", "foreign", 1.0), (2, None, 1, "assistant", "nameless", 5.0), (None, 4, None, None, None, None), (None, 5, 4, "user", "child", 1.0)]
+    df = spark.createDataFrame(m, "tree_id int, message_id long, parent_id long, role string, text string, score double").withColumn("parent", F.lit("clash"))
+    got = chat_format.format_chats(df, keep=None).collect()
+    chats = sorted((repr(r.tree), repr(r.leaf), tuple(t for _, t in chat_format.read_back(r.formatted))) for r in got)
+    assert chats == sorted([("1", "2", ("q", "a")), ("1", "3", ("q", "a", "r")), ("2", "9", ("foreign",)), ("2", "None", ("other", "nameless")), ("None", "5", ("", "child"))])
+    best = {r.tree: r.leaf for r in chat_format.format_chats(df).collect()}
+    assert best == {1: 3, 2: None, None: 5}
+
+
+def test_malformed_media_is_told_not_fatal(spark):
+    bad = [b"P2 1 1 255 70000", b"P2 1 1 255 -5", b"P2 1 1 255 256", b"P1 2 1 7 x", b"P2 1 1 255 x", b"P5 99999999999 9999999999 255\n", b"P6 1 1 255\n\x01"]
+    image = media.encode_bmp(np.array([[0, 200]], dtype=np.uint8))
+    short = bytearray(image[:54] + image[54:58] + image[54 + 1024 :])
+    short[10:14], short[46:50] = (58).to_bytes(4, "little"), (1).to_bytes(4, "little")
+    bad += [bytes(short), image[:60], b"BM" + b"\xff" * 60]
+    for b in bad:
+        with pytest.raises((ValueError, IndexError)):
+            media.decode(b)
+    table = spark.createDataFrame([(i, b) for i, b in enumerate(bad)] + [(99, image)], "id long, media binary")
+    out = {r.id: r for r in media.media_tiles(table, "id", "media", 4).collect()}
+    assert all(out[i].tile is None and out[i].error for i in range(len(bad))) and out[99].error is None
+
+
+def test_language_without_labels_or_with_clashing_names(spark):
+    rows = [(1, "the house", None, 0.5, "x"), (2, "123", None, 0.5, "x"), (3, None, None, 0.5, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, lang_pred string")
+    kept = language_id.keep_identified(df)
+    assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1] and kept.first().lang is None
+    more = df.unionByName(spark.createDataFrame([(10 + i, "the house and the garden", "en", 0.0, "y") for i in range(5)], df.schema))
+    assert {r.doc_id: r.lang for r in language_id.keep_identified(more).collect()} == {1: "en"} | {10 + i: "en" for i in range(5)}, "a missing label is filled"
+    out = language_id.predict(more, language_id.train(more))
+    assert sorted(out.columns) == ["doc_id", "lang", "lang_pred", "score", "text"] and out.filter("doc_id = 1 AND lang_pred = 'en' AND score > 0.5").count() == 1
+
+
+def test_packing_weighs_three_residuals(spark):
+    # Bins with 40 and 50 tokens left are open for the item of 20: the norm takes the fuller one, the product the other.
+    with_ = lambda rule: packing.plan_bins({60: 1, 50: 1, 20: 1}, 100, weights=(1, 0, 0), rule=rule).entries[20]
+    assert with_("norm") == [(0, 0, 60)] and with_("dot") == [(0, 1, 50)]
+    sizes = {7: 40, 30: 20, 45: 12, 64: 9}
+    seen = set()
+    for rule in ("norm", "dot"):
+        for weights in ((1, 0, 0), (0, 1, 0), (0, 0, 1), (1, 1, 1)):
+            plan = packing.plan_bins(sizes, 100, max_docs=4, max_cost=5000, weights=weights, rule=rule)
+            placed = [(b + i, off, n) for n, rows in plan.entries.items() for (rank, b, off), end in zip(rows, [*[r[0] for r in rows[1:]], sizes[n]], strict=True) for i in range(end - rank)]
+            assert len(placed) == sum(sizes.values()) and check_bins(placed, 100, 4, 5000) == plan.bins
+            seen.add(repr(sorted(placed)))
+    assert len(seen) > 2, "documents and cost decide, not tokens alone"
+    clash = materialize(spark.createDataFrame([(1, 5, "a", "b")], "id long, length int, sequence_id string, offset string"), "t")
+    assert packing.pack(clash, capacity=8).columns == ["id", "length", "sequence_id", "offset"] and packing.pack(clash, capacity=8).first().offset == 0
+
+
+def test_a_tie_of_rows_is_broken_by_their_columns(spark):
+    rows = [(1, "Same", c) for c in "cabd"]
+    first = {tuple(exact_dedup.drop_copies(spark.createDataFrame(x, "doc_id long, text string, v string").repartition(2)).collect()) for x in (rows, rows[::-1])}
+    assert len(first) == 1 and len(next(iter(first))) == 1
+
+
+def test_rules_with_nulls_are_none(spark):
+    urls = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
+    rules = spark.createDataFrame([(None, "/", "block"), ("a.com", None, "block"), ("a.com", "/", None), ("com", "/", "block")], "host string, path string, verdict string")
+    assert [(r.rule, r.verdict) for r in url_filter.url_filter(urls, rules).collect()] == [("com/", "block")]
+
+
+def test_postings_are_those_of_the_texts_trigrams():
+    texts = ["", "xpasSwordé", "pas", "é pa\0s", "AKIA", "ssw", None and "", "tokpas" * 3]
+    texts = [t or "" for t in texts]
+    wanted = ("aki", "pas", "ssw", "tok")
+    index = secret_scan.build_index(texts, wanted)
+    assert {g: p.tolist() for g, p in index.items()} == {g: [i for i, t in enumerate(texts) if g in fold(t)] for g in wanted if any(g in fold(t) for t in texts)}
+    assert secret_scan.build_index([], wanted) == {}
+    with pytest.MonkeyPatch.context() as patch:
+        # Without its postings a rule finds nothing: the scan goes through the index.
+        patch.setattr(secret_scan, "build_index", lambda *_: {})
+        assert [k for k, *_ in secret_scan.scan(["password=abcdef AKIA" + "A" * 20 + " " + "0" * 30])[0]] == ["hex"]
+
+
+def test_unknown_ids_are_refused():
+    with pytest.raises(KeyError):
+        bpe.join_tokens(np.array([5, 1 << 20]), bpe.default_ranks(), "bytes")
+
+
 # ---- the queries
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from weirline.llm import _packed, suffix_tree_lm
 
 
-def slow_scores(train, asked, depth, least=2, discount=0.5):
+def slow_scores(train, asked, depth, least=2, discount=0.5, whole=True):
     """(n_tokens, n_known, base, score) of each text asked for."""
     lists = [[None, *suffix_tree_lm.words_of(t), None] for t in train]
     grams = collections.Counter(tuple(x[i : i + k]) for x in lists for k in range(2, depth + 2) for i in range(len(x) - k + 1))
@@ -24,23 +24,28 @@ def slow_scores(train, asked, depth, least=2, discount=0.5):
     for g, c in grams.items():
         if c >= least:
             kept[g[:-1]][g[-1]] = (c - discount) / contexts[g[:-1]]
-    known = [*unigrams, b" unseen"]
-    below = {(): {w: (unigrams[w] + 1) / (n + v + 1) for w in known}}
+    weight = {c: 1 - sum(k.values()) for c, k in kept.items()}
+
+    def p(c, w):
+        if not c:
+            return (unigrams[w] + 1) / (n + v + 1)
+        return kept[c].get(w, 0) + weight[c] * p(c[1:], w) if c in weight else p(c[1:], w)
+
     stays = set()
-    for c in sorted(kept, key=len):
-        low = below[c[1:]]
-        weight = 1 - sum(kept[c].values())
-        p = below[c] = {w: kept[c].get(w, 0) + weight * low[w] for w in known}
-        assert abs(sum(p.values()) - 1) < 1e-9, "a distribution"
-        if sum(q * math.log(q / low[w]) for w, q in p.items()) >= suffix_tree_lm.MIN_DIVERGENCE:
+    for c in sorted(weight, key=len):
+        here, low = {w: p(c, w) for w in kept[c]}, {w: p(c[1:], w) for w in kept[c]}
+        if whole:
+            assert abs(sum(p(c, w) for w in [*unigrams, b" unseen"]) - 1) < 1e-9, "a distribution"
+        gain = sum(q * math.log(q / low[w]) for w, q in here.items()) + weight[c] * (1 - sum(low.values())) * math.log(weight[c])
+        if gain >= suffix_tree_lm.MIN_DIVERGENCE:
             stays |= {c[i:] for i in range(len(c))}
     out = []
     for t in asked:
         x, score, base = [None, *suffix_tree_lm.words_of(t), None], 0.0, 0.0
         for i in range(1, len(x)):
             state = next((s for k in range(min(i, depth), 0, -1) if (s := tuple(x[i - k : i])) in stays), ())
-            score += math.log10(below[state].get(x[i], below[state][b" unseen"]))
-            base += math.log10((unigrams[x[i]] + 1) / (n + v + 1))
+            score += math.log10(p(state, x[i]))
+            base += math.log10(p((), x[i]))
         out.append((len(x) - 1, sum(unigrams[w] > 0 for w in x[1:]), base, score))
     return out, len(stays)
 

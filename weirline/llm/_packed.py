@@ -26,6 +26,8 @@ _ARROW = pa.schema([("bucket", pa.int32()), ("source", pa.int64()), ("kind", pa.
 _HEAD = struct.Struct("<3sQQ")
 #: Bytes of values in one batch that a task passes on.
 BATCH_BYTES = 16 << 20
+#: Bytes of a step's table from which on its shuffle's files are worth a collection of garbage.
+WORTH_COLLECTING = 4 << 20
 #: Bytes of input for each bucket: at least, so that messages between buckets stay large; at most, so that one fits a task.
 LEAST_INPUT, MOST_INPUT = 8 << 20, 256 << 20
 
@@ -151,9 +153,12 @@ def owners(fn: Callable[[int, Mail], Iterable[Row]]) -> Callable[[Iterator[pa.Re
 def step(fn: Callable[[int, Mail], Iterable[Row]], tag: str, *tables: DataFrame, parts: int) -> DataFrame:
     """Deal the tables' rows to their owners and write what these send, a folder for each kind."""
     out = materialize(send(deal(*tables, parts=parts), owners(fn)), tag, by="kind", compression="none", **{"parquet.enable.dictionary": "false"})
-    gc.collect()
-    # The shuffles behind a written table aren't read again; their files go with the driver's garbage.
-    out.sparkSession.sparkContext._jvm.System.gc()
+    context = out.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(out.weirline_path)
+    if path.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(path).getLength() > WORTH_COLLECTING:
+        # The shuffles behind a written table aren't read again; their files go with the driver's garbage.
+        gc.collect()
+        context._jvm.System.gc()
     return out
 
 

@@ -11,9 +11,12 @@ character; a newline in a role becomes `\\N`. Both are undone by `unescape`, so
 be read back exactly (`read_back`). The loss mask marks the assistants' texts, as code point spans of
 the formatted string.
 
-Defined results: null text or role counts as empty; a parent that is missing, null or the message itself
-makes a root; repeated rows are separate messages; ties of scores go to the smaller leaf number; an empty
-table gives an empty result; parents that form a cycle raise ValueError. A conversation is one string
+Defined results: null text or role counts as empty; a parent that is missing, null, the message itself or in
+another tree makes a root; repeated rows are separate messages (replies to their id go to the one whose role and
+text sort first); a message without an id has no replies; ties of scores go to the smaller row number; extra
+columns aren't read; an empty table gives an empty result; parents that form a cycle raise ValueError. The best
+`keep` branches of a tree are picked by a window that Spark limits before its shuffle, so a tree of many leaves
+sends `keep` rows from each task. A conversation is one string
 value, so one conversation, not one tree, has to fit in a task.
 """
 
@@ -102,7 +105,7 @@ def reply_paths(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     messages: a written table with tree, node, parent, score; nodes are unique over all trees.
     """
     known = messages.select(F.col("node").alias("parent"))
-    real = messages.filter("parent IS NOT NULL AND parent != node").select("tree", "node", "parent", "score").join(known, "parent", "left_semi")
+    real = messages.filter("parent IS NOT NULL AND parent != node").select("node", "parent").join(known, "parent", "left_semi")
     nodes = materialize(messages.select("node").join(real.select("node", "parent"), "node", "left"), "nodes")
     paths = _paths(nodes).join(messages.select("node", "tree", "score"), "node")
     ends = paths.groupBy("leaf").agg(F.max("up").alias("depth"), F.avg(F.coalesce("score", F.lit(0.0))).alias("mean"), F.first("tree").alias("tree"))
@@ -134,10 +137,17 @@ def format_paths(paths: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def format_chats(messages: DataFrame, tree: str = "tree_id", node: str = "message_id", parent: str = "parent_id", role: str = "role", text: str = "text", score: str | None = "score", keep: int | None = 1) -> DataFrame:
-    """The best branches of each tree as conversations: tree, leaf, rank, formatted, loss_spans."""
+    """The best branches of each tree as conversations: tree, leaf (its message id), rank, formatted, loss_spans."""
     value = col(score).cast("double") if score else F.lit(0.0)
-    picked = materialize(messages.select(col(tree).alias("tree"), col(node).cast("long").alias("node"), col(parent).cast("long").alias("parent"), col(role).alias("role"), col(text).alias("text"), value.alias("score")), "messages")
-    return format_paths(reply_paths(picked, keep), picked)
+    picked = messages.select(col(tree).alias("tree"), col(node).cast("long").alias("id"), col(parent).cast("long").alias("parent_id"), col(role).cast("string").alias("role"), col(text).cast("string").alias("text"), value.alias("score"))
+    # Rows are numbered, for ids may be null or repeated, or the same in several trees.
+    rows = materialize(picked.withColumn("node", F.monotonically_increasing_id()), "rows")
+    named = rows.filter("id IS NOT NULL").groupBy("tree", "id").agg(F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "node")).getField("node").alias("parent"))
+    named = named.select(F.col("tree").alias("in_tree"), F.col("id").alias("parent_id"), "parent")
+    linked = rows.filter("parent_id IS NOT NULL AND NOT (parent_id <=> id)").join(named, "parent_id").filter("tree <=> in_tree").select("node", "parent")
+    whole = materialize(rows.join(linked, "node", "left"), "messages")
+    out = format_paths(reply_paths(whole, keep), whole)
+    return out.join(rows.select(F.col("node").alias("leaf"), "id"), "leaf").select("tree", F.col("id").alias("leaf"), "rank", "formatted", "loss_spans")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +180,8 @@ def op1_chat_format(spark, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
     messages = conversation_messages(rows)
-    formatted = format_paths(reply_paths(messages, keep=None), messages)
+    # Each conversation is a chain, so its one branch is its best one.
+    formatted = format_paths(reply_paths(messages, keep=1), messages)
     out = formatted.select(F.col("tree").alias("conv_id"), "formatted", "loss_spans")
     return map_arrow(out, _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

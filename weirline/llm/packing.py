@@ -1,13 +1,12 @@
 """Vector best-fit packing into sequences.
 
 An item has three sizes: tokens, one document, and its attention cost (tokens squared). A bin has a
-capacity for each. Bins are filled one after another: of the sizes that fit under every constraint, the
-next item is the one with the largest weighted dot-product of its size and the bin's residual capacity
-(or, by choice, the one that leaves the smallest weighted residual norm); when one or two items could
-fill the tokens exactly, those are taken. Since an item is its token count, the choice is made once for all
-bins of equal content: items are counted by length (at most `capacity` counts reach the driver, whatever
-the data), and a filling is repeated for as long as its lengths last. The plan, at most a few entries a
-length and filling, is broadcast; items find their place in it by their length and their rank among items
+capacity for each. Items are placed the longest first: of the open bins where one fits under every constraint
+it goes to the bin that leaves the smallest weighted norm of the three residuals (or, by choice, the one whose
+residuals have the largest weighted dot-product with its sizes). Since an item is its token count, items of a
+length are interchangeable, and so are bins of equal residuals: both are counted, at most `capacity` lengths
+reach the driver, whatever the data, and one decision places as many items as there are bins of that kind. The
+plan is broadcast; items find their place in it by their length and their rank among items
 of that length. Ranks are dealt by (length, salt), so a length that a third of all items share is no hot key.
 
 Defined results: null text counts as empty and still has the closing id; repeated rows are packed each;
@@ -17,7 +16,6 @@ ValueError. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import bisect
 import os
 import zlib
 from collections.abc import Iterator
@@ -33,6 +31,8 @@ from ._common import col, map_arrow, materialize
 
 #: Tokens in a sequence, and the id that closes a document, of the registered query.
 CAPACITY, CLOSE = 4096, 1
+#: Weights of the residual tokens, documents and cost, and the rule that selects bins.
+WEIGHTS, RULE = (1.0, 0.05, 0.05), "norm"
 #: Words whose ids a worker remembers; it forgets all when there are more.
 CACHE_WORDS = 500_000
 #: Longest word that is remembered.
@@ -129,102 +129,109 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
 
 
 class Plan:
-    """Fillings: for each length, where its items of a rank go. Arrays by length of (first rank, count,
-    bins of the filling, first bin, offset, step of the offset)."""
+    """For each length, where its items of a rank go: rows of (first rank, first bin, offset) by rank."""
 
     def __init__(self):
-        self.entries: dict[int, list[tuple[int, int, int, int, int]]] = {}
+        self.entries: dict[int, list[tuple[int, int, int]]] = {}
         self.used: dict[int, int] = {}
         self.bins = 0
 
-    def add(self, items: list[int], times: int) -> None:
-        """`times` bins that each hold these lengths, in order."""
-        at = 0
-        for length in items:
-            first = self.used.get(length, 0)
-            self.entries.setdefault(length, []).append((first, self.bins, at))
-            self.used[length] = first + times
-            at += length
-        self.bins += times
+    def add(self, length: int, times: int, first_bin: int, offset: int) -> None:
+        """The next `times` items of a length, one in each of the bins from first_bin on."""
+        rank = self.used.get(length, 0)
+        self.entries.setdefault(length, []).append((rank, first_bin, offset))
+        self.used[length] = rank + times
 
     def freeze(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         return {n: tuple(np.array(x, dtype=np.int64) for x in zip(*rows, strict=True)) for n, rows in self.entries.items()}
 
 
-def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.05, 0.05), rule: str = "dot") -> Plan:
-    """Fillings for the items counted by length, under the capacities of tokens, documents and cost."""
+class _Open:
+    """Open bins by what is left of their tokens, documents and cost: for each such residual, runs of bins
+    (first, how many). Residuals are kept as rows of an array, so that all are scored at once."""
+
+    def __init__(self):
+        self.rows, self.live = np.zeros((64, 3), np.int64), np.zeros(64, bool)
+        self.runs: list[list[tuple[int, int]]] = [[] for _ in range(64)]
+        self.place: dict[tuple[int, int, int], int] = {}
+        self.free = list(range(63, -1, -1))
+
+    def put(self, residual: tuple[int, int, int], first: int, n: int) -> None:
+        k = self.place.get(residual)
+        if k is None:
+            if not self.free:
+                size = len(self.live)
+                self.free = list(range(2 * size - 1, size - 1, -1))
+                self.rows, self.live = np.concatenate([self.rows, np.zeros_like(self.rows)]), np.concatenate([self.live, np.zeros_like(self.live)])
+                self.runs += [[] for _ in range(size)]
+            k = self.place[residual] = self.free.pop()
+            self.rows[k], self.live[k] = residual, True
+        self.runs[k].append((first, n))
+
+    def take(self, k: int, most: int) -> list[tuple[int, int]]:
+        """Up to `most` bins of a residual, as runs."""
+        out, runs = [], self.runs[k]
+        while runs and most:
+            first, n = runs.pop()
+            m = min(n, most)
+            if m < n:
+                runs.append((first + m, n - m))
+            out.append((first, m))
+            most -= m
+        if not runs:
+            del self.place[tuple(self.rows[k].tolist())]
+            self.live[k] = False
+            self.free.append(k)
+        return out
+
+
+def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = WEIGHTS, rule: str = RULE) -> Plan:
+    """Places for the items counted by length, the longest first, under the capacities of tokens, documents and cost.
+
+    Of the open bins where an item fits under every constraint, it goes to the one that leaves the smallest weighted
+    norm of the three residuals (rule norm), or whose residuals have the largest weighted dot-product with its sizes
+    (rule dot), each as a share of its capacity; a new bin is opened where none fits.
+    """
     max_docs, max_cost = max_docs or capacity, max_cost or capacity * capacity
     if rule not in ("dot", "norm"):
         raise ValueError(f"rule must be dot or norm, not {rule!r}")
     if any(n > capacity or n * n > max_cost or n < 1 for n in counts):
         raise ValueError("an item fits no bin")
-    left = {n: c for n, c in counts.items() if c > 0}
-    lengths = sorted(left)
-    wt, wd, wc = weights[0] / capacity**2, weights[1] / max_docs**2, weights[2] / max_cost**2
-    plan = Plan()
-
-    def best(tokens: int, docs: int, cost: int, taken: dict[int, int]) -> int | None:
-        """The length that scores best of those that fit."""
-        if docs < 1:
-            return None
-        most = min(tokens, int(cost**0.5) if cost < capacity * capacity else capacity)
-        while most * most > cost:
-            most -= 1
-        k = bisect.bisect_right(lengths, most) - 1
-        while k >= 0 and taken.get(lengths[k], 0) >= left[lengths[k]]:
-            k -= 1
-        if k < 0:
-            return None
-        if rule == "dot":
-            # Every term of the product grows with the length: the largest that fits has the largest product.
-            return lengths[k]
-        # The residual norm is convex in the length: walk down from the largest while it falls.
-        norm = lambda n: wt * (tokens - n) ** 2 + wd * (docs - 1) ** 2 + wc * (cost - n * n) ** 2
-        choice = lengths[k]
-        for j in range(k - 1, max(k - 8, -1), -1):
-            n = lengths[j]
-            if taken.get(n, 0) < left[n] and norm(n) < norm(choice):
-                choice = n
-        return choice
-
-    def exact(tokens: int, docs: int, cost: int, taken: dict[int, int]) -> list[int] | None:
-        """One or two lengths that fill the tokens exactly."""
-        free = lambda n, more=0: left.get(n, 0) - taken.get(n, 0) - more > 0
-        if docs >= 1 and tokens * tokens <= cost and free(tokens):
-            return [tokens]
-        if docs >= 2:
-            for n in lengths[bisect.bisect_left(lengths, (tokens + 1) // 2) : bisect.bisect_left(lengths, tokens)]:
-                m = tokens - n
-                if free(n) and free(m, n == m) and n * n + m * m <= cost:
-                    return [n, m]
-        return None
-
-    while lengths:
-        items = [lengths[-1]]
-        taken = {lengths[-1]: 1}
-        tokens, docs, cost = capacity - items[0], max_docs - 1, max_cost - items[0] ** 2
-        while tokens > 0:
-            more = exact(tokens, docs, cost, taken)
-            if more is None:
-                n = best(tokens, docs, cost, taken)
-                more = [n] if n is not None else None
-            if more is None:
-                break
-            for n in more:
-                items.append(n)
-                taken[n] = taken.get(n, 0) + 1
-                tokens, docs, cost = tokens - n, docs - 1, cost - n * n
-        times = min(left[n] // k for n, k in taken.items())
-        plan.add(items, times)
-        for n, k in taken.items():
-            left[n] -= k * times
-            if not left[n]:
-                del left[n]
-                del lengths[bisect.bisect_left(lengths, n)]
+    scale = np.array(weights) / np.array([capacity, max_docs, max_cost], float) ** 2
+    plan, open_ = Plan(), _Open()
+    for n in sorted((n for n, c in counts.items() if c > 0), reverse=True):
+        left, size = counts[n], np.array([n, 1, n * n])
+        while left:
+            fits = np.flatnonzero(open_.live & (open_.rows >= size).all(axis=1))
+            if not len(fits):
+                # New bins, one item in each; they are open to further items of this length, too.
+                residual = capacity - n, max_docs - 1, max_cost - n * n
+                most = max(1, min(capacity // n, max_docs, max_cost // (n * n)))
+                fresh = -(-left // most)
+                plan.add(n, fresh, plan.bins, 0)
+                open_.put(residual, plan.bins, fresh)
+                plan.bins += fresh
+                left -= fresh
+                continue
+            rest = open_.rows[fits]
+            score = ((rest - size) ** 2 * scale).sum(axis=1) if rule == "norm" else -(rest * size * scale).sum(axis=1)
+            moved = []
+            for k in fits[np.lexsort((rest[:, 2], rest[:, 0], score))].tolist():
+                tokens, docs, cost = open_.rows[k].tolist()
+                for first, m in open_.take(k, left):
+                    plan.add(n, m, first, capacity - tokens)
+                    moved.append(((tokens - n, docs - 1, cost - n * n), first, m))
+                    left -= m
+                if not left:
+                    break
+            # Bins that got an item are open again from here on.
+            for residual, first, m in moved:
+                if residual[0] and residual[1]:
+                    open_.put(residual, first, m)
     return plan
 
 
-def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.05, 0.05), rule: str = "dot", salts: int | None = None) -> DataFrame:
+def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = WEIGHTS, rule: str = RULE, salts: int | None = None) -> DataFrame:
     """items with sequence_id and offset, in place of columns of these names. Items are read several times: pass a
     written table."""
     items = items.drop("sequence_id", "offset")
