@@ -36,5 +36,6 @@ def serial_load(rows: DataFrame, keys: list[str], serial: str, order: str, faile
     their group's first failed one. failed: (group, serial) of failed files."""
     if failed is not None:
         first = failed.groupBy(group).agg(F.min(serial).alias("__stop"))
-        rows = rows.join(F.broadcast(first), group, "left").filter(F.coalesce(F.col(serial) < F.col("__stop"), F.lit(True))).drop("__stop")
+        # One row a group: Spark broadcasts it only where its own estimate says that it is small.
+        rows = rows.join(first, group, "left").filter(F.coalesce(F.col(serial) < F.col("__stop"), F.lit(True))).drop("__stop")
     return last_wins(rows, keys, F.struct(serial, order))
