@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gc
 import struct
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from ._common import map_arrow, materialize, release_part
 
 SCHEMA = "bucket int, source long, kind string, data binary"
 _ARROW = pa.schema([("bucket", pa.int32()), ("source", pa.int64()), ("kind", pa.string()), ("data", pa.binary())])
-_HEAD = struct.Struct("<3sQQ")
+_HEAD = struct.Struct("<3s?QQ")
 #: Bytes of values in one batch that a task passes on.
 BATCH_BYTES = 16 << 20
 #: Bytes of a step's table from which on its shuffle's files are worth a collection of garbage.
@@ -41,7 +42,11 @@ def pack(*columns: np.ndarray) -> bytes:
         c = np.ascontiguousarray(c)
         whole = c.view(f"<u{c.itemsize}")
         held = compress(b"".join([(whole >> whole.dtype.type(8 * k)).astype(np.uint8).tobytes() for k in range(c.itemsize)]))
-        out += [_HEAD.pack(c.dtype.str.encode(), len(c), len(held)), held]
+        # Hashes of which some are frequent are smaller as they are.
+        flat = compress(c.tobytes()) if c.dtype == np.uint64 else held
+        if as_is := len(flat) < len(held):
+            held = flat
+        out += [_HEAD.pack(c.dtype.str.encode(), as_is, len(c), len(held)), held]
     return b"".join(out)
 
 
@@ -49,15 +54,19 @@ def unpack(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     decompress = zstandard.ZstdDecompressor().decompress
     while at < len(data):
-        kind, n, size = _HEAD.unpack_from(data, at)
+        kind, as_is, n, size = _HEAD.unpack_from(data, at)
         at += _HEAD.size
         dtype = np.dtype(kind.decode())
-        planes = np.frombuffer(decompress(data[at : at + size]), np.uint8).reshape(dtype.itemsize, n)
+        raw = decompress(data[at : at + size])
+        at += size
+        if as_is:
+            out.append(np.frombuffer(raw, dtype))
+            continue
+        planes = np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, n)
         whole = planes[0].astype(f"<u{dtype.itemsize}")
         for k in range(1, dtype.itemsize):
             whole |= planes[k].astype(whole.dtype) << whole.dtype.type(8 * k)
         out.append(whole.view(dtype))
-        at += size
     return out
 
 
@@ -156,9 +165,12 @@ def step(fn: Callable[[int, Mail], Iterable[Row]], tag: str, *tables: DataFrame,
     context = out.sparkSession.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(out.weirline_path)
     if path.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(path).getLength() > WORTH_COLLECTING:
-        # The shuffles behind a written table aren't read again; their files go with the driver's garbage.
-        gc.collect()
-        context._jvm.System.gc()
+        # The shuffles behind a written table aren't read again; their files go with the driver's garbage, once
+        # the JVM knows what Python has let go.
+        for _ in range(2):
+            gc.collect()
+            context._jvm.System.gc()
+            time.sleep(0.3)
     return out
 
 

@@ -48,6 +48,7 @@ MIN_COUNT = 2
 MOST = 1 << 18
 #: Multiplier of the hashes of words and of grams: any odd number.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 #: Bits of a filter's place (2 ** 27 bits are 16 MB).
 FILTER_BITS = 27
 #: Bytes of text tokenised at once, tokens in a window, and entries that a task gathers before it sends them.
@@ -73,7 +74,7 @@ _SEGMENT = 1 << 20
 
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n + 1, MULTIPLIER), np.full(n + 1, np.uint64(pow(int(MULTIPLIER), -1, 1 << 64)))
+    up, down = np.full(n + 1, MULTIPLIER), np.full(n + 1, INVERSE)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
@@ -291,37 +292,36 @@ def _own_words(least: int):
 
 
 def _count_grams(shared, length: int, parts: int):
-    """Counts of grams of a length whose first and last length - 1 tokens may both be kept: hash, that of the
-    context, and that of the suffix (of two tokens it is what the gram's hash has besides its context's)."""
+    """Counts of grams of a length whose first and last length - 1 tokens may both be kept: hash, and hashes of the
+    last token and of the tokens between the first and the last, which repeat, and from which those of the context
+    and of the suffix follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
         bits, gather = shared.value, _Gather(parts, 1)
         for chunk in _chunks(batches, 0):
             for tokens, place, _, new in _windows(*hashed(chunk.column(0)), length):
-                shorter = tokens
+                shorter, middle = tokens, np.zeros(len(tokens), np.uint64)
                 for _ in range(length - 2):
-                    shorter = _longer(shorter, tokens)
+                    shorter, middle = _longer(shorter, tokens), shorter
                 may = _maybe(bits, shorter) & (place >= length - 2)
                 at = np.flatnonzero(may[1:] & may[:-1] & (place[1:] >= length - 1) & new[1:]) + 1
-                suffix = shorter[at] if length > 2 else np.zeros(len(at), np.uint64)
-                yield from gather.add(_longer(shorter, tokens)[at], shorter[at - 1], suffix, np.ones(len(at), np.int64))
+                yield from gather.add(_longer(shorter, tokens)[at], tokens[at], middle[at - 1], np.ones(len(at), np.int64))
         yield from gather.flush()
 
     return run
 
 
-def _own_grams(length: int, least: int, discount: float, parts: int):
+def _own_grams(least: int, discount: float, parts: int):
     """Grams seen often enough; of their contexts the mass that they take away, and what is asked of suffixes."""
 
     def run(bucket: int, mail: Mail) -> Iterator[Row]:
         *keys, n = mail.columns("count", 4)
-        key, context, suffix, n = _summed(n, *keys)
+        key, last, middle, n = _summed(n, *keys)
         on = n >= least
         if not on.any():
             return
-        key, context, suffix, n = key[on], context[on], suffix[on], n[on]
-        if length == 2:
-            suffix = key - context * MULTIPLIER
+        key, last, middle, n = key[on], last[on], middle[on], n[on]
+        context, suffix = (key - last) * INVERSE, last + middle * MULTIPLIER
         yield bucket, 0, "own", pack(key, context, suffix, n)
         yield _bits(bucket, key)
         contexts, place = np.unique(context, return_inverse=True)
@@ -455,7 +455,7 @@ def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_coun
     own, bits, levels = kind_of(words, "own"), _filter(words), []
     for length in range(2, depth + 2):
         shared = spark.sparkContext.broadcast(bits)
-        grams = step(_own_grams(length, least, discount, parts), "grams", send(picked, _count_grams(shared, length, parts)), parts=parts)
+        grams = step(_own_grams(least, discount, parts), "grams", send(picked, _count_grams(shared, length, parts)), parts=parts)
         shared.destroy()
         if kind_of(grams, "own").isEmpty():
             release(grams)
