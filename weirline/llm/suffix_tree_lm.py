@@ -476,6 +476,8 @@ def train(texts: DataFrame, text_col: str = "text", depth: int = DEPTH, min_coun
         tree += [settled, step(_values(length), "values", kind_of(weighed, "own"), kind_of(settled, "stays"), parts=parts)]
         needed = [kind_of(settled, "needed")]
         release(told, weighed)
+    for settled in tree[::2]:
+        drop(settled, "stays", "needed")
     return Model(total, vocabulary, ends, words, tree, len(levels) and len(levels) + 1, parts)
 
 
