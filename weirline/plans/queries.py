@@ -251,10 +251,19 @@ def jon_2(spark, d):
     return st.files(spark, d).join(ledger.watermarks(st.ledger(spark, d)), "serial_group", "left").select("serial_group", "serial_seq", "watermark")
 
 
-# ---- Rotation: a fold, not SQL
+# ---- Rotation: a fold; in SQL a recursion over the batches
 
 
-@query("str_1_rotation")
+_ROTATION = f""", b AS (SELECT serial_group, batch_start, count(*) AS n_rows, CAST(sum(strlen({_EVENT_LINE}) + 1) AS BIGINT) AS n_bytes FROM s GROUP BY 1, 2)
+, f AS (SELECT *, row_number() OVER (PARTITION BY serial_group ORDER BY batch_start) AS nth FROM b)
+, w AS (SELECT DISTINCT serial_group, CAST(0 AS BIGINT) AS batch_start, CAST(0 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_bytes, CAST(0 AS BIGINT) AS nth, CAST(0 AS BIGINT) AS file_no, CAST(0 AS BIGINT) AS file_rows, CAST(0 AS BIGINT) AS file_bytes, CAST(128 AS DOUBLE) AS per_row, false AS sealed FROM b
+  UNION ALL SELECT serial_group, batch_start, n_rows, n_bytes, nth, file_no, file_rows, file_bytes, per_row, file_rows * per_row >= 16384 AS sealed
+  FROM (SELECT f.serial_group, f.batch_start, f.n_rows, f.n_bytes, f.nth, CASE WHEN sealed THEN file_no + 1 ELSE file_no END AS file_no, CASE WHEN sealed THEN 0 ELSE file_rows END + f.n_rows AS file_rows,
+        CASE WHEN sealed THEN 0 ELSE file_bytes END + f.n_bytes AS file_bytes, CASE WHEN sealed THEN file_bytes / file_rows ELSE per_row END AS per_row FROM f JOIN w ON f.serial_group = w.serial_group AND f.nth = w.nth + 1))
+SELECT serial_group, batch_start, n_rows, n_bytes, file_no FROM w WHERE nth > 0"""
+
+
+@query("str_1_rotation", sql=st.SQL.replace("WITH s0", "WITH RECURSIVE s0", 1) + _ROTATION)
 def str_1(spark, d):
     rows = st.stream(spark, d)
     batches = rows.groupBy("serial_group", "batch_start").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length(csv.row_text(rows.select(*_EVENT_CELLS).schema)) + 1).alias("n_bytes"))
@@ -469,7 +478,11 @@ def log_1(spark, d):
     return st.table(spark, d, "events").select("event_id", F.date_format(F.timestamp_millis(F.lit(st.EPOCH).cast("long") + F.col("event_id") * 777), "yyyy-MM-dd HH:mm:ss").alias("clock"))
 
 
-@query("src_6_catalog_columns")
+_TYPE_NAMES = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(column_type) END"
+_DESCRIBE = "SELECT '{0}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS ordinal, column_name, " + _TYPE_NAMES + " AS data_type, NOT ends_with(column_type, '[]') AS supported FROM (DESCRIBE {0})"
+
+
+@query("src_6_catalog_columns", sql=" UNION ALL ".join(_DESCRIBE.format(t) for t in ("events", "orders", "embeddings")))
 def src_6(spark, d):
     from pyspark.sql import types as T
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import naming
 
 PARTITIONS, BATCH, FILE = 4, 50, 200
+#: Event identifiers a slice of the numbering, files a block of the file list.
+SLICE, FILES_A_BLOCK = 65_536, 65_536
 EPOCH, DB, REL, CLUSTER = 1_704_067_200_000, 13727, 54321, "c1024"
 #: The clock of the queries: a literal, never the time of the run.
 NOW = EPOCH + 10 * 86_400_000
@@ -26,25 +28,45 @@ def group_of(p: Column) -> Column:
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = F.pmod("user_id", F.lit(PARTITIONS)).cast("long")
-    out = table(spark, sf_dir, "events").withColumn("p", p)
-    offset = F.row_number().over(W.partitionBy("p").orderBy("event_id")) - 1
+    """The events with partition, offset and file. Rows are numbered inside slices of the event order and shifted by the
+    counts of the slices before, so the number of tasks grows with the data, not with the partitions. Both keys are
+    set in every event; rows without them would have no place in the stream."""
+    rows = table(spark, sf_dir, "events").withColumns({"p": _partition(), "slice": F.expr(f"event_id div {SLICE}")})
+    counts = rows.groupBy("p", "slice").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("p").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    out = rows.join(counts.select("p", "slice", before.alias("before")), ["p", "slice"])
+    offset = F.col("before") + F.row_number().over(W.partitionBy("p", "slice").orderBy("event_id")) - 1
     out = out.withColumn("offset", offset.cast("long")).withColumns({"seq": F.expr(f"offset div {FILE}"), "batch_start": F.expr(f"offset div {BATCH} * {BATCH}")})
-    return out.withColumns({"serial_group": group_of(F.col("p")), "serial_seq": naming.serial_seq(F.lit(EPOCH), F.col("seq"))})
+    return out.drop("slice", "before").withColumns({"serial_group": group_of(F.col("p")), "serial_seq": naming.serial_seq(F.lit(EPOCH), F.col("seq"))})
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = stream(spark, sf_dir).groupBy("serial_group", "p", "seq", "serial_seq").agg(F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"), F.count("*").alias("n_rows"))
+def _partition() -> Column:
+    return F.pmod("user_id", F.lit(PARTITIONS)).cast("long")
+
+
+def _counted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files with the number of their group's files. A partition's offsets have no gaps, so its files follow from
+    its number of events, counted in one scan; they are made in blocks that all tasks share."""
+    n = table(spark, sf_dir, "events").groupBy(_partition().alias("p")).agg(F.count("*").alias("n")).withColumn("n_files", F.expr(f"(n - 1) div {FILE} + 1"))
+    blocks = n.withColumn("block", F.explode(F.expr(f"sequence(0L, (n_files - 1) div {FILES_A_BLOCK})")))
+    blocks = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p", "block")
+    out = blocks.withColumn("seq", F.explode(F.expr(f"sequence(block * {FILES_A_BLOCK}, least(block * {FILES_A_BLOCK} + {FILES_A_BLOCK - 1}, n_files - 1))")))
+    start, end = F.col("seq") * FILE, F.least(F.col("seq") * FILE + FILE, F.col("n")) - 1
+    out = out.select(group_of(F.col("p")).alias("serial_group"), "p", "seq", naming.serial_seq(F.lit(EPOCH), F.col("seq")).alias("serial_seq"), start.alias("start_offset"), end.alias("end_offset"), (end - start + 1).alias("n_rows"), "n_files")
     return out.withColumns({"epoch_ms": F.lit(EPOCH).cast("long"), "sealed_at_ms": F.lit(NOW).cast("long") - (F.lit(40) - F.col("seq")) * 1500})
 
 
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted_files(spark, sf_dir).drop("n_files")
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each group's files the first 60 % are terminal, each seventh of them skipped; the next one failed."""
-    f = files(spark, sf_dir)
-    done = F.floor(F.count("*").over(W.partitionBy("serial_group")) * 0.6)
+    f = _counted_files(spark, sf_dir)
+    done = F.floor(F.col("n_files") * 0.6)
     status = F.when(F.col("seq") < done, F.when(F.col("seq") % 7 == 3, "SKIPPED").otherwise("FINISH")).when(F.col("seq") == done, "FAIL").otherwise("READY")
     ident = naming.identifier(F.lit(DB), F.lit(REL), F.concat(F.lit("events-p"), F.col("p").cast("string")), F.col("epoch_ms"), F.col("seq"))
-    return f.withColumns({"status": status, "identifier": ident})
+    return f.withColumns({"status": status, "identifier": ident}).drop("n_files")
 
 
 SQL = f"""
