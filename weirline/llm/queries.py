@@ -9,6 +9,7 @@ from .chat_format import OP1_SQL, op1_chat_format
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .language_id import op6_language_id
 from .media import op9_media
+from .merkle import OP11_SQL, op11_merkle_manifest
 from .packing import op3_packing
 from .secret_scan import op8_secret_scan
 from .simhash import op5_simhash
@@ -26,8 +27,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_media": op9_media,
     "op10_url_filter": op10_url_filter,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
 #: The others are held against brute force in tests/llm.
-ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op10_url_filter": OP10_SQL}
+ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
