@@ -249,10 +249,12 @@ def manifest(docs: DataFrame, fields: list[str] | None = None, id_col: str = "do
     leaf = leaf_digest([col(f) for f in fields])
     changed = F.lit(None).cast("binary") if not now else other if claimed is None else F.when(claimed, other)
     group = F.when(col(group_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), col(group_col).cast("string")))
+    # Written first: range partitioning reads its input twice, and texts should be read once.
     leaves = docs.select(group.alias("tree"), col(id_col).alias("id"), leaf.alias("digest"), changed.alias("claimed"), F.monotonically_increasing_id().alias("salt"))
-    placed = scan(leaves, ["tree"], ["id", "digest", "salt"], tag="leaves")
+    narrow = materialize(leaves, "leaves")
+    placed = scan(narrow, ["tree"], ["id", "digest", "salt"], tag="placed")
     tree = Tree(placed.drop("salt"), top)
-    release(placed)
+    release(placed, narrow)
     return tree.rows(output, id_col)
 
 
