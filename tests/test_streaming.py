@@ -48,7 +48,7 @@ def test_files_round_trip_with_edge_values(spark, tmp_path):
     back = staging.read_files(spark, [m.uri for m in made], schema).select(*schema.names)
     assert sorted(map(tuple, back.collect())) == sorted(data)
     with pytest.raises(SchemaError):
-        staging.read_files(spark, ["x"], T.StructType([schema["s"]]))
+        staging.read_files(spark, ["x"], T.StructType([]))
 
 
 def test_listing_tells_strange_names_apart(spark, tmp_path):

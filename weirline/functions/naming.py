@@ -33,6 +33,11 @@ def serial_seq(epoch: Column, seq: Column) -> Column:
     return F.when(fits, F.shiftleft(epoch.cast("long"), SEQ_BITS).bitwiseOR(seq.cast("long"))).otherwise(F.raise_error(F.lit("epoch or seq is out of range")).cast("long"))
 
 
+def try_serial(epoch: Column, seq: Column) -> Column:
+    """As serial_seq; null where epoch or seq is out of range."""
+    return F.when(epoch.between(0, EPOCH_MAX) & seq.between(0, SEQ_MAX), F.shiftleft(epoch.cast("long"), SEQ_BITS).bitwiseOR(seq.cast("long")))
+
+
 def epoch_of(serial: Column) -> Column:
     return F.shiftrightunsigned(serial, SEQ_BITS)
 

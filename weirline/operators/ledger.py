@@ -71,21 +71,72 @@ def repeated_seqs(files: DataFrame) -> DataFrame:
 
 
 def order_breaks(files: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """Consecutive files that break the order: within an epoch seq must rise by one, a later epoch starts at 0."""
+    """Consecutive files that break the order: within an epoch seq must rise by one, a later epoch starts at 0.
+
+    With start_offset and end_offset in files also what is missing at each break, null where nothing is: the numbers
+    missing_from to missing_to of the file's epoch, and the offsets missing_start to missing_end.
+    """
     w = W.partitionBy("serial_group").orderBy(arrival)
     seen = files.withColumns({"prev_epoch": F.lag("epoch_ms").over(w), "prev_seq": F.lag("seq").over(w), "prev_end": F.lag("end_offset").over(w)})
-    fine = ((F.col("epoch_ms") == F.col("prev_epoch")) & (F.col("seq") == F.col("prev_seq") + 1)) | ((F.col("epoch_ms") > F.col("prev_epoch")) & (F.col("seq") == 0))
-    return seen.filter(F.col("prev_epoch").isNotNull() & ~fine)
-
-
-def gate(jobs: DataFrame, ledger: DataFrame) -> DataFrame:
+    same, later = F.col("epoch_ms") == F.col("prev_epoch"), F.col("epoch_ms") > F.col("prev_epoch")
+    fine = (same & (F.col("seq") == F.col("prev_seq") + 1)) | (later & (F.col("seq") == 0))
+    broken = seen.filter(F.col("prev_epoch").isNotNull() & ~fine)
+    if "start_offset" not in files.columns:
+        return broken
+    skipped = F.when(same & (F.col("seq") > F.col("prev_seq") + 1), F.col("prev_seq") + 1).when(later, F.lit(0)).cast("long")
+    gap = F.col("start_offset") > F.col("prev_end") + 1
+    return broken.withColumns({"missing_from": skipped, "missing_to": F.when(skipped.isNotNull(), F.col("seq") - 1), "missing_start": F.when(gap, F.col("prev_end") + 1), "missing_end": F.when(gap, F.col("start_offset") - 1)})
+
+
+def islands(files: DataFrame) -> DataFrame:
+    """Runs of files with consecutive numbers, in whatever order they came, repeated ones counted once: serial_group,
+    epoch_ms, first_seq, last_seq, start_offset, end_offset, n_files."""
+    rank = F.dense_rank().over(W.partitionBy("serial_group", "epoch_ms").orderBy("seq"))
+    runs = files.withColumn("run", F.col("seq") - rank).groupBy("serial_group", "epoch_ms", "run")
+    return runs.agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.min("start_offset").alias("start_offset"), F.max("end_offset").alias("end_offset"), F.count_distinct("seq").alias("n_files")).drop("run")
+
+
+def missing_ranges(files: DataFrame) -> DataFrame:
+    """What is in no file of a group, though later files are there: for each hole serial_group, epoch_ms, the numbers
+    missing_from to missing_to and the offsets missing_start to missing_end (null where none is).
+
+    A later epoch starts at 0, so what lies before its first file is missing as well; before a group's first
+    file nothing is, for clean-up deletes the oldest.
+    """
+    w = W.partitionBy("serial_group").orderBy("epoch_ms", "first_seq")
+    before = W.partitionBy("serial_group").orderBy("epoch_ms", "first_seq").rowsBetween(W.unboundedPreceding, -1)
+    seen = islands(files).withColumns({"prev_epoch": F.lag("epoch_ms").over(w), "prev_last": F.lag("last_seq").over(w), "reached": F.max("end_offset").over(before)})
+    start = F.when(F.col("epoch_ms") == F.col("prev_epoch"), F.col("prev_last") + 1).otherwise(F.lit(0)).cast("long")
+    gap = F.col("start_offset") > F.col("reached") + 1
+    holes = seen.filter(F.col("prev_epoch").isNotNull() & (F.col("first_seq") > start))
+    return holes.select("serial_group", "epoch_ms", start.alias("missing_from"), (F.col("first_seq") - 1).alias("missing_to"), F.when(gap, F.col("reached") + 1).alias("missing_start"), F.when(gap, F.col("start_offset") - 1).alias("missing_end"))
+
+
+def gate(jobs: DataFrame, ledger: DataFrame, arrival: str | None = None) -> DataFrame:
     """The verdict on each submitted job: replay (at or below the watermark, or known by its identifier),
-    violation (its place is held by another open job), or accept."""
+    violation (its place is held by another open job), or accept.
+
+    arrival: a column that orders the jobs of this batch, no two alike. The jobs are then judged one after the other, as if each
+    accepted one were in the ledger when the next comes: of several for one place the first is accepted, a later
+    one is a replay if it has the same identifier and a violation if not; an identifier that was first seen in this batch at
+    another place names two places, which is a violation.
+    """
     known = ledger.select("identifier").distinct().withColumn("known", F.lit(True))
     held = ledger.filter(~F.col("status").isin(*TERMINAL)).groupBy("serial_group", "serial_seq").agg(F.lit(True).alias("held"))
     out = jobs.join(watermarks(ledger), "serial_group", "left").join(known, "identifier", "left").join(held, ["serial_group", "serial_seq"], "left")
-    verdict = F.when(F.coalesce(F.col("serial_seq") <= F.col("watermark"), F.lit(False)), "replay").when(F.col("known"), "replay").when(F.col("held"), "violation").otherwise("accept")
-    return out.select(*jobs.columns, verdict.alias("verdict"))
+    verdict = F.when(F.coalesce(F.col("serial_seq") <= F.col("watermark"), F.lit(False)), "replay").when(F.col("known"), "replay").when(F.col("held"), "violation")
+    if arrival is None:
+        return out.select(*jobs.columns, verdict.otherwise("accept").alias("verdict"))
+    judged = out.select(*jobs.columns, verdict.alias("__settled"))
+    # Minima, not windows: they shrink before the shuffle, so a job that is submitted very often is no hot group.
+    place = F.struct("serial_group", "serial_seq")
+    home = judged.filter(F.col("__settled").isNull()).groupBy("identifier").agg(F.min_by(place, F.struct(arrival, place)).alias("__home"))
+    judged = judged.join(home, "identifier", "left")
+    fresh = F.col("__settled").isNull() & F.col("__home").eqNullSafe(place)
+    first = judged.filter(fresh).groupBy("serial_group", "serial_seq").agg(F.min(F.struct(F.col(arrival).alias("at"), F.col("identifier").alias("by"))).alias("__first"))
+    judged = judged.join(first, ["serial_group", "serial_seq"], "left")
+    late = F.when(F.col("__first.by") == F.col("identifier"), F.when(F.col("__first.at") == F.col(arrival), "accept").otherwise("replay")).otherwise("violation")
+    return judged.select(*jobs.columns, F.coalesce("__settled", F.when(fresh, late).otherwise("violation")).alias("verdict"))
 
 
 def job_row(files: DataFrame, db: Column, rel: Column, writer: Column) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import csv_dialect as csv
 from ..functions import naming, secrets
-from ..operators import folds, ledger, tables
+from ..operators import attempts, folds, ledger, tables
+from ..sources.reader import read_staged
 from . import stream as st
 
 QUERIES: dict = {}
@@ -222,6 +223,56 @@ def win_2(spark, d):
     return ledger.order_breaks(f).select("serial_group", "epoch_ms", "seq", "prev_epoch", "prev_seq")
 
 
+_LOST = f"SELECT serial_group, p, epoch_ms + (seq // 16) AS epoch_ms, seq % 16 AS seq, start_offset, end_offset, seq AS arrival FROM files WHERE seq % 7 <> 3 AND seq % 23 NOT BETWEEN 15 AND 17"
+
+
+def _lost(spark, d):
+    f = st.files(spark, d).filter("seq % 7 != 3 AND seq % 23 NOT BETWEEN 15 AND 17")
+    return f.select("serial_group", "p", (F.col("epoch_ms") + F.expr("seq div 16")).alias("epoch_ms"), F.expr("seq % 16").alias("seq"), "start_offset", "end_offset", F.col("seq").alias("arrival"))
+
+
+@query("win_2_break_ranges", stream_sql=f"""SELECT serial_group, epoch_ms, seq, prev_epoch, prev_seq,
+  CASE WHEN epoch_ms = prev_epoch AND seq > prev_seq + 1 THEN prev_seq + 1 WHEN epoch_ms > prev_epoch THEN 0 END AS missing_from, CASE WHEN (epoch_ms = prev_epoch AND seq > prev_seq + 1) OR epoch_ms > prev_epoch THEN seq - 1 END AS missing_to,
+  CASE WHEN start_offset > prev_end + 1 THEN prev_end + 1 END AS missing_start, CASE WHEN start_offset > prev_end + 1 THEN start_offset - 1 END AS missing_end
+FROM (SELECT *, lag(epoch_ms) OVER w AS prev_epoch, lag(seq) OVER w AS prev_seq, lag(end_offset) OVER w AS prev_end FROM (SELECT * FROM ({_LOST}) UNION ALL SELECT serial_group, p, epoch_ms, seq, start_offset, end_offset, arrival + 0.5 FROM ({_LOST}) WHERE arrival % 5 = 1) WINDOW w AS (PARTITION BY serial_group ORDER BY arrival))
+WHERE prev_epoch IS NOT NULL AND NOT ((epoch_ms = prev_epoch AND seq = prev_seq + 1) OR (epoch_ms > prev_epoch AND seq = 0))""")
+def win_2_ranges(spark, d):
+    f = _lost(spark, d).withColumn("arrival", F.col("arrival").cast("double"))
+    twice = f.filter("arrival % 5 = 1").withColumn("arrival", F.col("arrival") + 0.5)
+    return ledger.order_breaks(f.unionByName(twice)).select("serial_group", "epoch_ms", "seq", "prev_epoch", "prev_seq", "missing_from", "missing_to", "missing_start", "missing_end")
+
+
+@query("win_2_missing_ranges", stream_sql=f"""SELECT serial_group, epoch_ms, CASE WHEN epoch_ms = prev_epoch THEN prev_seq + 1 ELSE 0 END AS missing_from, seq - 1 AS missing_to,
+  CASE WHEN start_offset > prev_end + 1 THEN prev_end + 1 END AS missing_start, CASE WHEN start_offset > prev_end + 1 THEN start_offset - 1 END AS missing_end
+FROM (SELECT *, lag(epoch_ms) OVER w AS prev_epoch, lag(seq) OVER w AS prev_seq, max(end_offset) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM ({_LOST}) WINDOW w AS (PARTITION BY serial_group ORDER BY epoch_ms, seq))
+WHERE prev_epoch IS NOT NULL AND ((epoch_ms = prev_epoch AND seq > prev_seq + 1) OR (epoch_ms > prev_epoch AND seq > 0))""")
+def win_2_missing(spark, d):
+    f = _lost(spark, d)
+    # In any order, some twice: holes depend on what is there, not on when it came.
+    return ledger.missing_ranges(f.unionByName(f.filter("seq % 4 = 2")))
+
+
+# ---- Staged files, written and read back
+
+
+_STAGED = "SELECT p, seq, \"offset\" - seq * {0} AS place, event_id, ts, user_id, event_type, value, props FROM s"
+
+
+def _placed(rows):
+    p = F.regexp_extract("_file", r"events-p(\d+)/[^/]*$", 1).cast("long")
+    return rows.select(p.alias("p"), naming.seq_of(F.col("_serial")).alias("seq"), F.col("_ord").alias("place"), *st.EVENT.names)
+
+
+@query("snk_4_two_phase_sink", stream_sql=_STAGED.format(st.FILE))
+def snk_4(spark, d):
+    return _placed(read_staged(spark, st.stage(spark, d) + "/*", st.EVENT))
+
+
+@query("src_9_staged_range", stream_sql=_STAGED.format(st.FILE) + f" WHERE (p, seq) IN (SELECT p, seq FROM files WHERE end_offset >= 450 AND start_offset <= 900 AND serial_seq > {st.EPOCH} * 1048576 + 2)")
+def src_9(spark, d):
+    return _placed(read_staged(spark, st.stage(spark, d) + "/*", st.EVENT, offsets=(450, 900), above=naming.encode(st.EPOCH, 2)))
+
+
 # ---- The gate
 
 
@@ -240,6 +291,47 @@ def str_9(spark, d):
     return ledger.gate(_jobs(book), book)
 
 
+# Each file's job comes three times: under a second identifier, under its own, under its own again; some from the ledger too.
+_BATCH = """, jobs AS (SELECT serial_group, serial_seq, i.identifier || CASE WHEN k = seq % 3 THEN 'z' ELSE '' END AS identifier, i.seq * 3 + k AS arrival FROM ledger i, (SELECT unnest([0, 1, 2]) AS k) WHERE seq % 2 = 0 OR status = 'READY'),
+book AS (SELECT * FROM ledger WHERE status <> 'READY' OR seq % 4 = 1),
+m AS (SELECT serial_group, max(serial_seq) AS watermark FROM book WHERE status IN ('FINISH', 'SKIPPED') GROUP BY 1),
+a AS (SELECT j.*, CASE WHEN j.serial_seq <= watermark OR j.identifier IN (SELECT identifier FROM book) THEN 'replay' WHEN h.serial_seq IS NOT NULL THEN 'violation' END AS settled FROM jobs j LEFT JOIN m USING (serial_group) LEFT JOIN (SELECT DISTINCT serial_group, serial_seq FROM book WHERE status NOT IN ('FINISH', 'SKIPPED')) h ON j.serial_group = h.serial_group AND j.serial_seq = h.serial_seq)"""
+
+
+@query("str_9_gate_in_order", stream_sql=_BATCH + """ SELECT serial_group, serial_seq, identifier, arrival, coalesce(settled, CASE WHEN nth = 1 THEN 'accept' WHEN identifier = winner THEN 'replay' ELSE 'violation' END) AS verdict
+FROM (SELECT *, row_number() OVER w AS nth, first_value(identifier) OVER w AS winner FROM a WINDOW w AS (PARTITION BY serial_group, serial_seq, settled IS NULL ORDER BY arrival))""")
+def str_9_in_order(spark, d):
+    whole = st.ledger(spark, d)
+    jobs = whole.filter("seq % 2 = 0 OR status = 'READY'").withColumn("k", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
+    name = F.concat("identifier", F.when(F.col("k") == F.col("seq") % 3, F.lit("z")).otherwise(F.lit("")))
+    jobs = jobs.select("serial_group", "serial_seq", name.alias("identifier"), (F.col("seq") * 3 + F.col("k")).alias("arrival"))
+    return ledger.gate(jobs, whole.filter("status != 'READY' OR seq % 4 = 1"), "arrival")
+
+
+# A log of executions: transient failures, for some a permanent one, an operator's retry or skip, then an execution that ends well.
+_LOG = f""", log AS (SELECT identifier, CASE seq % 4 WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 15 END AS retry_max, {st.EPOCH} + seq * 60000 + k * 1000 AS at_ms,
+  CASE WHEN k < seq % 6 THEN 'transient' WHEN k = 6 AND seq % 5 = 1 THEN 'permanent' WHEN k = 7 AND seq % 7 = 2 THEN 'skip' WHEN k = 7 AND seq % 7 = 3 THEN 'retry' WHEN k = 8 AND seq % 7 = 3 THEN 'transient' WHEN k = 9 AND seq % 3 > 0 THEN 'ok' END AS event
+  FROM ledger, (SELECT unnest(range(10)) AS k))"""
+
+
+@query("str_11_attempts", stream_sql=_LOG.replace(", log AS", ", log0 AS") + """, log AS (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY at_ms, event) AS pos FROM log0 WHERE event IS NOT NULL),
+r AS (SELECT *, count(*) FILTER (event = 'retry') OVER (PARTITION BY identifier ORDER BY pos) AS round FROM log),
+t AS (SELECT *, count(*) FILTER (event = 'transient') OVER (PARTITION BY identifier, round ORDER BY pos) AS nth FROM r),
+e AS (SELECT identifier, round, min(pos) FILTER (event IN ('ok', 'permanent') OR (event = 'transient' AND nth > retry_max)) AS cut, max(retry_max) AS retry_max FROM t GROUP BY 1, 2),
+o AS (SELECT e.identifier, e.round, e.retry_max, max(CASE WHEN pos = cut THEN CASE event WHEN 'ok' THEN 'FINISH' WHEN 'permanent' THEN 'permanent' ELSE 'retries' END END) AS how, count(*) FILTER (event NOT IN ('retry', 'skip') AND (cut IS NULL OR pos <= cut)) AS attempts,
+      max(at_ms) FILTER (event NOT IN ('retry', 'skip') AND (cut IS NULL OR pos <= cut)) AS last_ms, count(*) FILTER (event = 'skip' AND pos > cut) AS skips FROM e JOIN t USING (identifier, round) GROUP BY 1, 2, 3),
+s1 AS (SELECT *, CASE WHEN how = 'FINISH' THEN how WHEN how IS NOT NULL AND skips > 0 THEN 'SKIPPED' WHEN how IS NOT NULL THEN 'FAIL' WHEN attempts > 0 THEN 'RETRY' ELSE 'READY' END AS status FROM o),
+s2 AS (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY CASE WHEN status IN ('FINISH', 'SKIPPED') THEN round ELSE 1000 - round END) AS k FROM s1)
+SELECT identifier, status, attempts, CASE WHEN status = 'FAIL' THEN how END AS reason, CASE WHEN status = 'RETRY' THEN last_ms + CAST(list_aggregate(list_transform(range(attempts, attempts + 1), lambda j: least(30, 2 ** (j - 1))), 'sum') * 1000 AS BIGINT) END AS next_at_ms,
+  CASE WHEN status = 'RETRY' AND retry_max IS NOT NULL THEN last_ms + CAST(list_aggregate(list_transform(range(attempts, retry_max + 1), lambda j: least(30, 2 ** (j - 1))), 'sum') * 1000 AS BIGINT) END AS fail_at_ms FROM s2 WHERE k = 1""")
+def str_11(spark, d):
+    seq, k = F.col("seq"), F.col("k")
+    book = st.ledger(spark, d).select("identifier", "seq").withColumn("k", F.explode(F.array(*map(F.lit, range(10)))))
+    limit = F.when(seq % 4 == 0, 0).when(seq % 4 == 1, 2).when(seq % 4 == 2, 15)
+    event = F.when(k < seq % 6, "transient").when((k == 6) & (seq % 5 == 1), "permanent").when((k == 7) & (seq % 7 == 2), "skip").when((k == 7) & (seq % 7 == 3), "retry").when((k == 8) & (seq % 7 == 3), "transient").when((k == 9) & (seq % 3 > 0), "ok")
+    return attempts.job_states(book.select("identifier", limit.alias("retry_max"), (F.lit(st.EPOCH) + seq * 60_000 + k * 1000).alias("at_ms"), event.alias("event")).filter("event IS NOT NULL"))
+
+
 @query("jon_3_known_jobs", stream_sql=_JOBS + " SELECT identifier FROM jobs WHERE identifier IN (SELECT identifier FROM ledger)")
 def jon_3(spark, d):
     book = st.ledger(spark, d)

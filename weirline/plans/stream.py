@@ -5,13 +5,21 @@ In production offsets come with the data; here they are made from the event orde
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import naming
+from ..session import shared_dir
+from ..sources.sink import StagingSink
+from ..sources.store import Store
 
 PARTITIONS, BATCH, FILE = 4, 50, 200
+#: The columns of the staged events.
+EVENT = T.StructType().add("event_id", "long").add("ts", T.TimestampNTZType()).add("user_id", "long").add("event_type", "string").add("value", "double").add("props", "string")
 #: Event identifiers a slice of the numbering, files a block of the file list.
 SLICE, FILES_A_BLOCK = 65_536, 65_536
 EPOCH, DB, REL, CLUSTER = 1_704_067_200_000, 13727, 54321, "c1024"
@@ -60,6 +68,17 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted_files(spark, sf_dir).drop("n_files")
 
 
+def stage(spark: SparkSession, sf_dir: str) -> str:
+    """Write the stream's files through the two-phase sink; the folder that holds a folder for each partition."""
+    ends = files(spark, sf_dir).select("p", "seq", "start_offset", "end_offset")
+    rows = stream(spark, sf_dir).join(ends, ["p", "seq"])
+    name = naming.basename(F.lit(EPOCH), F.col("seq"), F.col("start_offset"), F.col("end_offset"), F.lit(True))
+    rows = rows.withColumn("name", F.concat(F.lit("events-p"), F.col("p").cast("string"), F.lit("/"), name))
+    store = Store(spark, f"{shared_dir(spark)}/weirline-staging-{uuid.uuid4().hex}")
+    StagingSink(store).write(rows, EVENT.names, "name", ["offset"])
+    return store.root
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each group's files the first 60 % are terminal, each seventh of them skipped; the next one failed."""
     f = _counted_files(spark, sf_dir)

@@ -25,6 +25,18 @@ def build(app: str = "weirline", master: str | None = None, **conf: str) -> Spar
     return b.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: spark.checkpoint.dir; a local one only where unset and Spark is local itself."""
+    set_ = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if set_:
+        return set_.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="weirline-shared-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once an application, where they can't import it themselves."""
     app = spark.sparkContext.applicationId

@@ -1,91 +1,42 @@
 """Staged files: written under names that carry their order, listed, and read back.
 
-A file is rendered in the JVM, dealt by its name and sorted by its rows' order; the task that holds it streams
-lines into a compressed object and moves that into place. A file's bytes depend on its rows alone.
+Files are rendered and written by Spark in the JVM, in two phases (`sink`), and read by `reader`. A file's bytes depend on
+its rows alone.
 """
 
 from __future__ import annotations
 
-import io
-import zlib
-from collections.abc import Iterator
+import re
 
-import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..errors import SchemaError
-from ..functions import csv_dialect as csv
 from ..functions import naming
-from ..session import ship_package
+from .reader import read_files, read_staged
+from .sink import StagingSink
 from .store import Store
 
+__all__ = ["list_staged", "read_files", "read_staged", "write_files"]
 
-class _Sink(io.RawIOBase):
-    """Lines into an object: gzip of level 6 without a time stamp, or plain; moved into place at the end."""
 
-    def __init__(self, uri: str, compressed: bool):
-        self.fs, self.path = pafs.FileSystem.from_uri(uri)
-        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.out = self.fs.open_output_stream(self.path + ".writing", compression=None)
-        # A gzip frame whose header has no time: the same rows, the same bytes.
-        self.pack = zlib.compressobj(6, zlib.DEFLATED, 31) if compressed else None
-        self.size = 0
-
-    def add(self, text: str) -> None:
-        data = text.encode("utf-8", "surrogatepass")
-        self.size += len(data)
-        self.out.write(self.pack.compress(data) if self.pack else data)
-
-    def done(self) -> None:
-        if self.pack:
-            self.out.write(self.pack.flush())
-        self.out.close()
-        self.fs.move(self.path + ".writing", self.path)
-
-
-def _writer(header: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uri, sink, rows, made = None, None, 0, []
-
-        def close() -> None:
-            nonlocal sink
-            if sink is not None:
-                sink.done()
-                made.append((uri, rows, sink.size))
-                sink = None
-
-        for batch in batches:
-            for key, compressed, line in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
-                if key != uri:
-                    close()
-                    uri, rows, sink = key, 0, _Sink(key, compressed)
-                    sink.add(header + "\n")
-                sink.add(line + "\n")
-                rows += 1
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["uri", "n_rows", "n_bytes"])
-
-    return run
-
-
-def write_files(rows: DataFrame, columns: list[str], uri: str, order: list[str], delimiter: str = ",", compressed: bool = True) -> DataFrame:
-    """Write rows as files, one per value of the `uri` column; returns uri, n_rows, n_bytes. Lazy: an
-    action on the result writes, and writing again gives the same objects."""
-    ship_package(rows.sparkSession)
-    schema = T.StructType([rows.schema[c] for c in columns])
-    lines = rows.select(F.col(uri).alias("uri"), F.lit(compressed).alias("compressed"), csv.row_text(schema, delimiter).alias("line"), *order)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lines.repartition(n, "uri").sortWithinPartitions("uri", *order).select("uri", "compressed", "line")
-    return dealt.mapInArrow(_writer(csv.header_text(columns, delimiter)), "uri string, n_rows long, n_bytes long")
+def write_files(rows: DataFrame, columns: list[str], uri: str, order: list[str], delimiter: str = ",", compressed: bool = True, root: str | None = None) -> DataFrame:
+    """Write rows as files, one per value of the `uri` column; returns uri, n_rows, n_bytes. root: the folder that all
+    files are in; without one, that of the first file. Writing again gives the same objects."""
+    spark = rows.sparkSession
+    schema = "uri string, n_rows long, n_bytes long"
+    if root is None:
+        least = rows.agg(F.min(uri)).first()[0]
+        if least is None:
+            return spark.createDataFrame([], schema)
+        root = least.rpartition("/")[0]
+    store = Store(spark, root)
+    named = rows.withColumn(uri, F.when(F.startswith(uri, F.lit(root + "/")), F.substring(uri, F.lit(len(root) + 2), F.length(uri))))
+    made = StagingSink(store).write(named, columns, uri, order, delimiter, compressed)
+    return spark.createDataFrame([(f"{root}/{f.name}", f.n_rows, f.n_bytes) for f in made], schema)
 
 
 def list_staged(store: Store, folder: str) -> tuple[list[dict], list[str]]:
     """The staged files of a folder in order, and the names that are none."""
-    import re
-
     staged, odd = [], []
     for name, size in store.list(folder):
         m = re.match(naming.BASENAME, name)
@@ -95,19 +46,3 @@ def list_staged(store: Store, folder: str) -> tuple[list[dict], list[str]]:
         else:
             odd.append(name)
     return sorted(staged, key=lambda f: (f["epoch_ms"], f["seq"])), odd
-
-
-def read_files(spark: SparkSession, uris: list[str], schema: T.StructType, delimiter: str = ",") -> DataFrame:
-    """Staged files as typed rows, with `_file` and `_ord` (the place in the file).
-
-    Fields are read as text and cast: NULL is a bare empty field, the empty text two quotes. A table of one
-    column can't be read so, since a NULL row is an empty line, which the reader drops.
-    """
-    if len(schema) < 2:
-        raise SchemaError("files of a single column can't be read back: a row of NULL is an empty line")
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = spark.read.schema(text).options(header=True, multiLine=True, escape='"', nullValue=csv.NUL, emptyValue="", sep=delimiter, enforceSchema=True).csv(uris)
-    name = lambda f: F.col("`" + f.name.replace("`", "``") + "`")
-    # A file is one partition (multiLine), so its rows' places are their order in it.
-    typed = raw.select(*[csv.parse_cell(name(f), f.dataType).alias(f.name) for f in schema], F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_ord"))
-    return typed

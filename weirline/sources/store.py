@@ -51,6 +51,28 @@ class Store:
             return []
         return sorted((s.getPath().getName(), s.getModificationTime()) for s in self._fs.listStatus(path) if s.isDirectory())
 
+    def walk(self, folder: str) -> list[tuple[str, int]]:
+        """Keys and sizes of all files below a folder, but for those whose names begin with _ or a dot."""
+        path, out = self.path(folder), []
+        if not self._fs.exists(path):
+            return []
+        top = self._fs.makeQualified(path).toString().rstrip("/")
+        found = self._fs.listFiles(path, True)
+        while found.hasNext():
+            s = found.next()
+            if s.getPath().getName()[0] not in "_.":
+                out.append((folder + self._fs.makeQualified(s.getPath()).toString()[len(top) :], s.getLen()))
+        return out
+
+    def move(self, source: str, target: str) -> None:
+        """An object to another place, over what is there."""
+        to = self.path(target)
+        self._fs.mkdirs(to.getParent())
+        try:
+            self._rename(self.path(source), to, overwrite=True)
+        except Py4JJavaError as e:
+            raise StorageError(f"{source} could not be moved to {target}") from e
+
     def exists(self, key: str) -> bool:
         return self._fs.exists(self.path(key))
 

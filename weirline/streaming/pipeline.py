@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config, Mode
-from ..errors import WriterFenced
+from ..errors import SchemaError, WriterFenced
 from ..functions import naming
 from ..operators.tables import last_wins
-from ..sources.staging import read_files, write_files
+from ..sources.sink import StagingSink
+from ..sources.staging import read_files
 from ..sources.store import Store
 from ..types import TableSchema
 from .lease import Lease
@@ -52,6 +53,8 @@ def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int,
     store = Store(spark, config.root)
     target = Target(spark, f"{store.root}/tables/{schema.db_id}/{schema.rel_id}", schema.columns, schema.key if mode is Mode.UPSERT else (), config.buckets)
     names = schema.columns.names
+    if clash := {"_stream", "_offset", "_name"} & set(names):
+        raise SchemaError(f"{', '.join(sorted(clash))} can't be the name of a column of a stream's table")
     folder = f"staging/{config.cluster_id}/{schema.db_id}/{schema.rel_id}"
     compressed = config.compression.value == "gzip"
     # One live query a table and checkpoint; a query that was overtaken ends at its next micro-batch.
@@ -61,28 +64,42 @@ def start(stream: DataFrame, config: Config, schema: TableSchema, epoch_ms: int,
     lease = Lease(store, f"{folder}/_meta/stream-lease.json", config.lock_lease_timeout, settle=config.lock_settle, wait=config.lock_wait)
     lease.acquire()
 
+    sink = StagingSink(store, folder)
+    try:
+        # What a query before this one had committed to staging and didn't move.
+        sink.recover()
+    except BaseException:
+        lease.release()
+        raise
+    # A stream's identifier is `p` and its partition's value; rows without one are the stream `null`.
+    value = F.col(partition).cast("string")
+    ident = F.when(value.isNull(), F.lit("null")).otherwise(F.concat(F.lit("p"), value))
+    group = lambda p: f"{schema.db_id}:{schema.rel_id}:{p}"
+
     def one(rows: DataFrame, batch_id: int) -> None:
         seq = batch_id & naming.SEQ_MAX
         epoch = epoch_ms + (batch_id >> naming.SEQ_BITS)
         serial = naming.encode(epoch, seq)
         lease.heartbeat()
-        rows = rows.persist()
+        # The table may have columns of these names, so they are taken under others.
+        rows = rows.select(*names, ident.alias("_stream"), F.col(offset).alias("_offset")).persist()
         try:
-            ranges = {r["p"]: (r["lo"], r["hi"]) for r in rows.groupBy(F.col(partition).cast("string").alias("p")).agg(F.min(offset).alias("lo"), F.max(offset).alias("hi")).collect()}
             done = target.manifest()["applied"]
-            group = lambda p: f"{schema.db_id}:{schema.rel_id}:p{p}"
-            due = {p: r for p, r in ranges.items() if serial > done.get(group(p), -1)}
+            ranges = rows.groupBy("_stream").agg(F.min("_offset").alias("lo"), F.max("_offset").alias("hi")).collect()
+            due = {r["_stream"]: (r["lo"], r["hi"]) for r in ranges if serial > done.get(group(r["_stream"]), -1)}
+            for p in due:
+                naming.check_segment(p, writer=True)
             if not due:
                 return
-            uris = {p: store.uri(f"{folder}/p{p}/{epoch:013d}-{seq:07d}-o{lo}-{hi}.csv" + ".gz" * compressed) for p, (lo, hi) in due.items()}
-            uri = F.element_at(F.create_map(*[F.lit(x) for kv in uris.items() for x in kv]), F.col(partition).cast("string"))
-            data = rows.filter(F.col(partition).cast("string").isin(list(due))).withColumn("_uri", uri)
+            file = {p: f"{p}/{epoch:013d}-{seq:07d}-o{lo}-{hi}.csv" + ".gz" * compressed for p, (lo, hi) in due.items()}
+            # One row a stream, joined, so that the plan doesn't grow with the streams.
+            data = rows.join(F.broadcast(spark.createDataFrame(sorted(file.items()), "_stream string, _name string")), "_stream")
             if mode is Mode.UPSERT:
-                data = last_wins(data.select(*names, offset, "_uri"), list(schema.key), F.col(offset), ["_uri"])
-            write_files(data, names, "_uri", [offset], config.delimiter, compressed).collect()
+                data = last_wins(data.select(*names, "_offset", "_name"), list(schema.key), F.col("_offset"), ["_name"])
+            sink.write(data, names, "_name", ["_offset"], config.delimiter, compressed)
         finally:
             rows.unpersist()
-        loaded = read_files(spark, sorted(uris.values()), schema.columns, config.delimiter)
+        loaded = read_files(spark, sorted(store.uri(f"{folder}/{f}") for f in file.values()), schema.columns, config.delimiter)
         applied = {group(p): serial for p in due}
         lease.verify()
         if mode is Mode.UPSERT:

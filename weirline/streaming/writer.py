@@ -29,7 +29,8 @@ from ..errors import ConfigError, DatabaseError, EngineError, InputError, Rotati
 from ..functions import naming
 from ..functions.csv_dialect import header_text
 from ..operators.tables import last_wins
-from ..sources.staging import list_staged, read_files, write_files
+from ..sources.sink import StagingSink
+from ..sources.staging import list_staged, read_files
 from ..sources.store import Store
 from ..types import TableSchema, same_schema
 from .lease import Lease
@@ -154,6 +155,7 @@ class TableWriter:
         self.serial_group = f"{schema.db_id}:{schema.rel_id}:{writer_id}"
         self.folder = f"staging/{c.cluster_id}/{schema.db_id}/{schema.rel_id}/{writer_id}"
         self._state_key = f"{self.folder}/_meta/state.json"
+        self.sink = StagingSink(self.store, self.folder)
         self.target = Target(engine.spark, f"{self.store.root}/tables/{schema.db_id}/{schema.rel_id}", schema.columns, schema.key if mode is Mode.UPSERT else (), c.buckets)
         self.lease = Lease(self.store, f"{self.folder}/_meta/lease.json", c.lock_lease_timeout, engine.clock, c.lock_settle, c.lock_wait, sleep=engine.sleep)
         #: Batches not yet sealed; sealed files, not yet staged, with theirs; staged files, not yet loaded.
@@ -181,6 +183,8 @@ class TableWriter:
         if state.get("table", self.table) != self.table:
             log.info("table %s was renamed to %s", state["table"], self.table)
         watermark = self.target.applied(self.serial_group)
+        # What a writer before this one committed and didn't move; the lease says that there is none beside it.
+        self.sink.recover()
         staged, odd = list_staged(self.store, self.folder)
         if odd:
             log.warning("%d objects are no staged files", len(odd))
@@ -318,8 +322,8 @@ class TableWriter:
         if self.mode is Mode.UPSERT:
             whole = last_wins(whole, list(self.schema.key), F.struct("_batch", "_row"))
         key = f"{self.folder}/{file_name(held)}"
-        whole = whole.withColumn("_uri", F.lit(self.store.uri(key)))
-        made = write_files(whole, names, "_uri", ["_batch", "_row"], self.config.delimiter, held["compressed"]).collect()
+        whole = whole.withColumn("_name", F.lit(file_name(held)))
+        made = self.sink.write(whole, names, "_name", ["_batch", "_row"], self.config.delimiter, held["compressed"])
         if made and made[0].n_rows:
             self._row_bytes = made[0].n_bytes / made[0].n_rows
         else:
