@@ -114,11 +114,14 @@ def _split(width: int, delimiter: bytes):
     return run
 
 
-def _typed(files: DataFrame, schema: T.StructType, delimiter: str) -> DataFrame:
-    """files (path, content) as typed rows with `_file` and `_ord`."""
+def _check(schema: T.StructType, delimiter: str) -> None:
     if not len(schema):
         raise SchemaError("files have a column at least")
     csv.check_delimiter(delimiter)
+
+
+def _typed(files: DataFrame, schema: T.StructType, delimiter: str) -> DataFrame:
+    """files (path, content) as typed rows with `_file` and `_ord`."""
     ship_package(files.sparkSession)
     width = len(schema)
     raw = files.mapInArrow(_split(width, delimiter.encode()), ", ".join([*(f"c{k} string" for k in range(width)), "_file string", "_ord long"]))
@@ -127,6 +130,7 @@ def _typed(files: DataFrame, schema: T.StructType, delimiter: str) -> DataFrame:
 
 def read_files(spark: SparkSession, uris: list[str], schema: T.StructType, delimiter: str = ",") -> DataFrame:
     """Staged files as typed rows, with `_file` and `_ord` (the place in the file, from 0)."""
+    _check(schema, delimiter)
     files = spark.read.format("binaryFile").load(uris).select(F.col("_metadata.file_path").alias("path"), "content")
     return _typed(files, schema, delimiter)
 
@@ -137,6 +141,7 @@ def read_staged(spark: SparkSession, folder: str, schema: T.StructType, delimite
     offsets: only files that overlap this inclusive range; above, upto: only files whose serial is above, or at most, these.
     Files outside are not read; objects that are no staged files are passed over.
     """
+    _check(schema, delimiter)
     part = lambda name: naming.parse_basename(F.col("_metadata.file_name")).getField(name)
     serial = naming.try_serial(part("epoch_ms"), part("seq"))
     wanted: list[Column] = [serial.isNotNull()]
