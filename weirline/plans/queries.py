@@ -320,10 +320,10 @@ t AS (SELECT *, count(*) FILTER (event = 'transient') OVER (PARTITION BY identif
 e AS (SELECT identifier, round, min(pos) FILTER (event IN ('ok', 'permanent') OR (event = 'transient' AND nth > retry_max)) AS cut, max(retry_max) AS retry_max FROM t GROUP BY 1, 2),
 o AS (SELECT e.identifier, e.round, e.retry_max, max(CASE WHEN pos = cut THEN CASE event WHEN 'ok' THEN 'FINISH' WHEN 'permanent' THEN 'permanent' ELSE 'retries' END END) AS how, count(*) FILTER (event NOT IN ('retry', 'skip') AND (cut IS NULL OR pos <= cut)) AS attempts,
       max(at_ms) FILTER (event NOT IN ('retry', 'skip') AND (cut IS NULL OR pos <= cut)) AS last_ms, count(*) FILTER (event = 'skip' AND pos > cut) AS skips FROM e JOIN t USING (identifier, round) GROUP BY 1, 2, 3),
-s1 AS (SELECT *, CASE WHEN how = 'FINISH' THEN how WHEN how IS NOT NULL AND skips > 0 THEN 'SKIPPED' WHEN how IS NOT NULL THEN 'FAIL' WHEN attempts > 0 THEN 'RETRY' ELSE 'READY' END AS status FROM o),
-s2 AS (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY CASE WHEN status IN ('FINISH', 'SKIPPED') THEN round ELSE 1000 - round END) AS k FROM s1)
+j1 AS (SELECT *, CASE WHEN how = 'FINISH' THEN how WHEN how IS NOT NULL AND skips > 0 THEN 'SKIPPED' WHEN how IS NOT NULL THEN 'FAIL' WHEN attempts > 0 THEN 'RETRY' ELSE 'READY' END AS status FROM o),
+j2 AS (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY CASE WHEN status IN ('FINISH', 'SKIPPED') THEN round ELSE 1000 - round END) AS k FROM j1)
 SELECT identifier, status, attempts, CASE WHEN status = 'FAIL' THEN how END AS reason, CASE WHEN status = 'RETRY' THEN last_ms + CAST(list_aggregate(list_transform(range(attempts, attempts + 1), lambda j: least(30, 2 ** (j - 1))), 'sum') * 1000 AS BIGINT) END AS next_at_ms,
-  CASE WHEN status = 'RETRY' AND retry_max IS NOT NULL THEN last_ms + CAST(list_aggregate(list_transform(range(attempts, retry_max + 1), lambda j: least(30, 2 ** (j - 1))), 'sum') * 1000 AS BIGINT) END AS fail_at_ms FROM s2 WHERE k = 1""")
+  CASE WHEN status = 'RETRY' AND retry_max IS NOT NULL THEN last_ms + CAST(list_aggregate(list_transform(range(attempts, retry_max + 1), lambda j: least(30, 2 ** (j - 1))), 'sum') * 1000 AS BIGINT) END AS fail_at_ms FROM j2 WHERE k = 1""")
 def str_11(spark, d):
     seq, k = F.col("seq"), F.col("k")
     book = st.ledger(spark, d).select("identifier", "seq").withColumn("k", F.explode(F.array(*map(F.lit, range(10)))))
