@@ -586,3 +586,51 @@ def test_pem_redaction_covers_the_key():
     }
     for (text, want), spans in zip(cases.items(), secret_scan.scan(list(cases)), strict=True):
         assert secret_scan.redact(text, spans).replace("[REDACTED:pem][REDACTED:pem]", "[REDACTED:pem]\n[REDACTED:pem]").replace("\n[REDACTED", "\n[REDACTED") == want
+
+
+def one_by_one(sizes, capacity, max_docs, max_cost, weights, rule):
+    """Each item, the longest first, in the open bin that the rule names; the contents of the bins."""
+    scale = [w / c**2 for w, c in zip(weights, (capacity, max_docs, max_cost), strict=True)]
+    bins = []
+    for n in sorted((n for n, c in sizes.items() for _ in range(c)), reverse=True):
+        size, best = (n, 1, n * n), None
+        for b in bins:
+            left = capacity - sum(b), max_docs - len(b), max_cost - sum(x * x for x in b)
+            if left[0] and left[1] and all(x >= y for x, y in zip(left, size, strict=True)):
+                if rule == "norm":
+                    score = sum((x - y) ** 2 * w for x, y, w in zip(left, size, scale, strict=True))
+                else:
+                    score = -sum(x * y * w for x, y, w in zip(left, size, scale, strict=True))
+                if best is None or (score, left[0], left[2]) < best[0]:
+                    best = (score, left[0], left[2]), b
+        if best is None:
+            bins.append([n])
+        else:
+            best[1].append(n)
+    return sorted(sorted(b) for b in bins)
+
+
+def contents(plan, sizes):
+    bins = collections.defaultdict(list)
+    for n, rows in plan.entries.items():
+        ends = [r[0] for r in rows[1:]] + [sizes[n]]
+        for (rank, first, offset), end in zip(rows, ends, strict=True):
+            for k in range(end - rank):
+                bins[first + k].append((offset, n))
+    for b in bins.values():
+        b.sort()
+        assert [o for o, _ in b] == [sum(n for _, n in b[:i]) for i in range(len(b))]
+    return sorted(sorted(n for _, n in b) for b in bins.values())
+
+
+def test_bins_are_scored_again_after_each_item():
+    plan = packing.plan_bins({6: 1, 5: 1, 1: 2}, 10)
+    assert contents(plan, {6: 1, 5: 1, 1: 2}) == [[1, 1, 6], [5]]
+    rng = np.random.default_rng(3)
+    for _ in range(150):
+        sizes = {int(n): int(c) for n, c in zip(rng.integers(1, 40, 8), rng.integers(1, 7, 8), strict=True)}
+        limits = int(rng.integers(2, 12)), int(rng.integers(1600, 4000))
+        for rule in ("norm", "dot"):
+            weights = tuple(float(w) for w in rng.choice([0.0, 0.5, 1.0, 3.0], 3))
+            plan = packing.plan_bins(sizes, 50, *limits, weights=weights, rule=rule)
+            assert contents(plan, sizes) == one_by_one(sizes, 50, *limits, weights, rule), (sizes, limits, rule, weights)

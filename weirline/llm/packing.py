@@ -185,6 +185,24 @@ class _Open:
         return out
 
 
+def _most(residual: tuple[int, int, int], n: int) -> int:
+    """How many items of length n fit what is left."""
+    tokens, docs, cost = residual
+    return min(tokens // n, docs, cost // (n * n))
+
+
+def _place(plan: Plan, open_: _Open, residual: tuple[int, int, int], n: int, first: int, bins: int, each: int, capacity: int) -> int:
+    """Put `each` items of length n in each of these bins, which go on with what is left; how many items that were."""
+    tokens, docs, cost = residual
+    if bins and each:
+        for j in range(each):
+            plan.add(n, bins, first, capacity - tokens + j * n)
+        after = tokens - each * n, docs - each, cost - each * n * n
+        if after[0] and after[1]:
+            open_.put(after, first, bins)
+    return bins * each
+
+
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = WEIGHTS, rule: str = RULE) -> Plan:
     """Places for the items counted by length, the longest first, under the capacities of tokens, documents and cost.
 
@@ -204,30 +222,23 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int |
         while left:
             fits = np.flatnonzero(open_.live & (open_.rows >= size).all(axis=1))
             if not len(fits):
-                # New bins, one item in each; they are open to further items of this length, too.
-                residual = capacity - n, max_docs - 1, max_cost - n * n
-                most = max(1, min(capacity // n, max_docs, max_cost // (n * n)))
-                fresh = -(-left // most)
-                plan.add(n, fresh, plan.bins, 0)
-                open_.put(residual, plan.bins, fresh)
-                plan.bins += fresh
-                left -= fresh
-                continue
-            rest = open_.rows[fits]
-            score = ((rest - size) ** 2 * scale).sum(axis=1) if rule == "norm" else -(rest * size * scale).sum(axis=1)
-            moved = []
-            for k in fits[np.lexsort((rest[:, 2], rest[:, 0], score))].tolist():
-                tokens, docs, cost = open_.rows[k].tolist()
-                for first, m in open_.take(k, left):
-                    plan.add(n, m, first, capacity - tokens)
-                    moved.append(((tokens - n, docs - 1, cost - n * n), first, m))
-                    left -= m
-                if not left:
-                    break
-            # Bins that got an item are open again from here on.
-            for residual, first, m in moved:
-                if residual[0] and residual[1]:
-                    open_.put(residual, first, m)
+                # New bins, one after the other: each is the only one that fits until it is full.
+                residual, take = (capacity, max_docs, max_cost), [(plan.bins, -(-left // _most((capacity, max_docs, max_cost), n)))]
+                plan.bins += take[0][1]
+            else:
+                rest = open_.rows[fits]
+                score = ((rest - size) ** 2 * scale).sum(axis=1) if rule == "norm" else -(rest * size * scale).sum(axis=1)
+                k = int(fits[np.lexsort((rest[:, 2], rest[:, 0], score))[0]])
+                residual = tuple(open_.rows[k].tolist())
+                take = None
+            # A bin that got an item has a smaller norm than before, so the next item goes there as well, until none fits; by the
+            # product it comes after the others of its kind, so each of those gets one before all are scored again.
+            each = _most(residual, n) if rule == "norm" or take or not any(weights) else 1
+            for first, m in take or open_.take(k, -(-left // each)):
+                full = min(m, left // each)
+                left -= _place(plan, open_, residual, n, first, full, each, capacity)
+                if full < m:
+                    left -= _place(plan, open_, residual, n, first + full, 1, left, capacity)
     return plan
 
 
