@@ -634,3 +634,56 @@ def test_bins_are_scored_again_after_each_item():
             weights = tuple(float(w) for w in rng.choice([0.0, 0.5, 1.0, 3.0], 3))
             plan = packing.plan_bins(sizes, 50, *limits, weights=weights, rule=rule)
             assert contents(plan, sizes) == one_by_one(sizes, 50, *limits, weights, rule), (sizes, limits, rule, weights)
+
+
+def test_a_language_without_spaces_is_learned(spark):
+    rng = random.Random(5)
+    zh, ja = "的一是不了人我在有他这中大来上国", "のにはをたがでてとしれさあいう"
+    rows = [(f"zh{k}", "".join(rng.choices(zh, k=200)), "zh") for k in range(20)] + [(f"ja{k}", "".join(rng.choices(ja, k=300)), "ja") for k in range(20)] + [(f"en{k}", "the house and the garden of the town " * 3, "en") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    model = language_id.train(df)
+    assert model.langs == ["en", "ja", "zh"]
+    new = [("a", "".join(rng.choices(zh, k=500)), "zh"), ("b", "".join(rng.choices(ja, k=70)), "ja"), ("c", "the garden", "en")]
+    out = language_id.predict(spark.createDataFrame(new, df.schema), model).collect()
+    assert all(r.lang_pred == r.lang and r.score > 0.9 for r in out)
+
+
+@pytest.mark.parametrize("n", [1, 3, 61, 62, 63, 64, 65, 126, 127, 128, 129, 500])
+def test_pieces_hold_every_ngram_once(n):
+    rng = random.Random(n)
+    word = "".join(rng.choices("abcdefgh", k=n))
+    for size in range(1, language_id.LONGEST + 1):
+        got = collections.Counter(p[i : i + size] for p, places in language_id.pieces_of(word) for i in range(min(places, len(p) - size + 1)))
+        assert got == collections.Counter(language_id.grams_of(word, size))
+
+
+def shared_sets(common, a, b):
+    """Two texts whose five-word shingles are sets with so many in common and so many of their own."""
+    # A text of its own words at the end: m words make m - 4 shingles.
+    tail = lambda tag, k: [f"{tag}{i}" for i in range(k)]
+    words = [f"w{i}" for i in range(common + 4)]
+    return " ".join(words + tail("a", a)), " ".join(words + tail("b", b))
+
+
+@pytest.mark.parametrize(("common", "a", "b"), [(36, 4, 5), (28, 0, 7), (28, 7, 0), (40, 5, 5), (100, 0, 25), (100, 25, 0), (12, 1, 2)])
+def test_pairs_at_the_threshold_link_in_both_orders(spark, common, a, b):
+    rows = []
+    for k in range(40):
+        x, y = (" ".join(f"{k}_{w}" for w in t.split()) for t in shared_sets(common, a, b))
+        assert near_dedup.similar(near_dedup.shingles(x), near_dedup.shingles(y), 0.8)
+        rows += [(2 * k, x), (2 * k + 1, y)]
+    left = near_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    # Bands meet all but 3 in 100,000 such pairs; the radius and the order lose none.
+    assert sorted(r.doc_id for r in left) == list(range(0, 80, 2))
+
+
+def test_links_do_not_depend_on_the_order_of_nodes():
+    lost = 0
+    for k in range(300):
+        x, y = (near_dedup.shingles(" ".join(f"{k}_{w}" for w in t.split())) for t in shared_sets(28, 0, 7))
+        for pair in ((x, y), (y, x)):
+            codes = [int.from_bytes(near_dedup.sketch(h)[0], "big") for h in pair]
+            forest = simhash.Forest(2)
+            near_dedup._link(codes, list(map(len, pair)), forest, 0.8, list(pair))
+            lost += forest.root(0) != forest.root(1)
+    assert lost == 0

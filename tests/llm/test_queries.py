@@ -95,9 +95,11 @@ def test_op6(spark, sf, docs):
     words, grams = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
     for k, r in docs.items():
         if remainder(k, 5) and r.lang is not None:
-            words[r.lang].update(w for w in m.words_of(r.text or "") if len(w) <= m.WORD_CHARS)
+            words[r.lang].update(m.words_of(r.text or ""))
     for lang, c in words.items():
-        for w, n in c.items():
+        for w, n in list(c.items()):
+            if len(w) > m.WORD_CHARS:
+                del c[w]
             for size in range(1, m.LONGEST + 1):
                 for g in m.grams_of(w, size):
                     grams[lang, size][g] += n

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import col, id_text, map_arrow
+from ._common import col, id_text, map_arrow, materialize, release
 
 #: Least share of a language's words, or n-grams of one length, that an entry of the model has.
 MIN_SHARE = 5e-6
@@ -34,7 +34,8 @@ MIN_SHARE = 5e-6
 LONGEST = 4
 #: Words whose evidence counts in full for the score.
 EVIDENCE = 50
-#: Longest word that is counted as a word; longer ones are scored by their n-grams.
+#: Longest run of letters that is counted as a word. Of longer ones, as in scripts without spaces, the n-grams are
+#: counted, all of them, in pieces of so many places, and by these they are scored.
 WORD_CHARS = 64
 UNKNOWN = "und"
 #: In place of a language, for a text with letters where no language was learned.
@@ -53,17 +54,24 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+def pieces_of(word: str) -> list[tuple[str, int]]:
+    """A long run in pieces (text, places): the n-grams that begin at a piece's first `places` places are the run's, each once."""
+    marked = f" {word} "
+    return [(marked[i : i + WORD_CHARS + LONGEST - 1], min(WORD_CHARS, len(marked) - i)) for i in range(0, len(marked), WORD_CHARS)]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter] = {}
 
     def flush() -> pa.RecordBatch:
-        rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
+        rows = [(lang, *w, n) for lang, c in counts.items() for w, n in c.items()]
         counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))], names=["lang", "word", "places", "n"])
 
     for batch in batches:
         for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            counts.setdefault(lang, Counter()).update([w for w in words_of(text.as_py() or "") if len(w) <= WORD_CHARS])
+            found = words_of(text.as_py() or "")
+            counts.setdefault(lang, Counter()).update([p for w in found for p in ([(w, 0)] if len(w) <= WORD_CHARS else pieces_of(w))])
             if sum(map(len, counts.values())) > COUNT_AT_MOST:
                 yield flush()
     yield flush()
@@ -78,12 +86,12 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))], names=["lang", "size", "gram", "n"])
 
     for batch in batches:
-        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for lang, word, places, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for size in range(1, LONGEST + 1):
-                for g in grams_of(word, size):
+                for g in [word[i : i + size] for i in range(min(places, len(word) - size + 1))] if places else grams_of(word, size):
                     counts[lang, size, g] += n
-        if len(counts) > COUNT_AT_MOST:
-            yield flush()
+            if len(counts) > COUNT_AT_MOST:
+                yield flush()
     yield flush()
 
 
@@ -141,25 +149,25 @@ class Model:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> Model:
     """Count all labelled texts (rows with a null label teach nothing)."""
     picked = labelled.select(col(text_col).alias("text"), col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL")
-    counted = map_arrow(picked, _count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    from ._common import materialize
-
+    counted = map_arrow(picked, _count_words, "lang string, word string, places int, n long").groupBy("lang", "word", "places").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "words")
-    sums = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    # A language may have no words but long runs: it is learned from their n-grams.
+    sums = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum(F.when(F.col("places") == 0, F.col("n")).otherwise(F.lit(0))).alias("n")).collect()}
     if not sums:
         return Model([], {}, {}, {})
     langs = sorted(sums)
     # A share of its language: at most 1/min_share rows a language pass.
     least = F.create_map(*[F.lit(x) for lang, n in sums.items() for x in (lang, n * min_share)])
-    kept = counted.filter(F.col("n") >= F.element_at(least, F.col("lang"))).collect()
+    kept = counted.filter((F.col("places") == 0) & (F.col("n") >= F.element_at(least, F.col("lang")))).collect()
     words = {(r.lang, r.word): math.log(r.n / sums[r.lang]) for r in kept}
     # The words are few and small, their n-grams many: they are dealt to all tasks again.
-    spread = counted.select("lang", "word", "n").repartition(int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    spread = counted.select("lang", "word", "places", "n").repartition(int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
     grams = materialize(map_arrow(spread, _count_grams, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "grams")
     gram_sums = {(r.lang, r.size): r.n for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
     bound = F.create_map(*[F.lit(x) for (lang, size), n in gram_sums.items() for x in (f"{size}{lang}", n * min_share)])
     kept = grams.filter(F.col("n") >= F.element_at(bound, F.concat(F.col("size").cast("string"), "lang"))).collect()
     logs = {(r.lang, r.gram): math.log(r.n / gram_sums[r.lang, r.size]) for r in kept}
+    release(counted, grams)
     floors = {(lang, size): math.log(min_share / 2) for lang in langs for size in range(LONGEST + 1)}
     return Model(langs, words, logs, floors)
 
