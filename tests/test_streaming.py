@@ -303,6 +303,118 @@ def test_a_staged_file_that_vanished_is_an_error(spark, tmp_path, monkeypatch):
     w.abandon()
 
 
+def test_a_vanished_file_is_not_tried_again(spark, tmp_path, monkeypatch):
+    slept = []
+    w, _ = Engine(spark, config(tmp_path, retry_max=15), sleep=slept.append).open_table("t", SCHEMA, "w-0")
+    monkeypatch.setattr(w.store, "exists", lambda key: False if key.endswith(".csv.gz") else True)
+    w.append(batch(spark, (1, "a")), 0, 0)
+    with pytest.raises(DatabaseError, match="is gone"):
+        w.flush()
+    assert slept == [] and [j["status_name"] for j in w.jobs()] == ["FAIL"]
+    monkeypatch.undo()
+    w.abandon()
+
+
+@pytest.mark.parametrize("times", [1, 2, 99])
+def test_a_store_that_does_not_answer_is_asked_again(spark, tmp_path, monkeypatch, times):
+    slept = []
+    engine = Engine(spark, config(tmp_path, staging_error_after_attempts=3), sleep=slept.append)
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    monkeypatch.setattr(w, "_book", broken(times, StorageError("timed out"))(w._book))
+    w.append(batch(spark, (1, "a")), 0, 0)
+    if times == 99:
+        for attempts in (3, 6):
+            with pytest.raises(StagingStalled):
+                w.flush()
+            assert w.fatal_error() is None and w.progress.attempts == attempts and "o0-0" in w.progress.failing
+        monkeypatch.undo()
+    assert w.flush() == 0 and w.fatal_error() is None and w.progress.failing is None and content(w) == [(1, "a")]
+    assert times == 99 or slept == [1.0, 2.0][:times]
+    w.close()
+
+
+def test_the_saved_offset_only_advances(spark, tmp_path):
+    engine = Engine(spark, config(tmp_path))
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    saved = lambda: w.store.get_json(w._state_key)["resume_offset"]
+    w._save_state(7)
+    w._save_state(None)
+    assert saved() == 7
+    w._save_state(3)
+    assert saved() == 7
+    w.abandon()
+    again, plan = engine.open_table("t", SCHEMA, "w-0")
+    assert plan.next_offset == 8
+    again._save_state(None)
+    assert saved() == 7
+    again.abandon()
+
+
+class Remote:
+    """A store whose move is a copy: what Hadoop's S3 and others look like from here."""
+
+    def __init__(self, real, conditional):
+        self.real, self.conditional = real, conditional
+
+    def __getattr__(self, name):
+        return getattr(self.real, name)
+
+    def getUri(self):  # noqa: N802
+        return type("Uri", (), {"getScheme": lambda _: "s3a"})()
+
+    def hasPathCapability(self, path, name):  # noqa: N802
+        return self.conditional
+
+    def createFile(self, target):  # noqa: N802
+        real = self.real
+
+        class Builder:
+            def must(self, name, value):
+                assert (name, value) == ("fs.option.create.conditional.overwrite", True)
+                return self
+
+            recursive = lambda self: self
+            build = lambda self: real.create(target, False)
+
+        return Builder()
+
+
+def test_objects_are_created_once_or_not_at_all(spark, tmp_path):
+    for conditional in (True, False):
+        store = Store(spark, str(tmp_path / str(conditional)))
+        store._fs, store._local = Remote(store._fs, conditional), False
+        if not conditional:
+            with pytest.raises(StorageError, match="only where there is none"):
+                store.create("a/b.json", "1")
+            assert not store.exists("a/b.json")
+            continue
+        assert store.create("a/b.json", "1") and not store.create("a/b.json", "2") and store.get("a/b.json") == "1"
+
+
+@pytest.mark.parametrize("bad", ["../../x", "a b"])
+def test_a_stream_with_odd_partitions_and_clashing_columns(spark, tmp_path, bad):
+    columns = T.StructType().add("id", "long").add("offset", "long").add("partition", "string")
+    schema = TableSchema(columns, ("id",), 3, 4)
+    folder = tmp_path / "in"
+    rows = [(1, 0, "0"), (1, 1, "0"), (2, 0, None), (3, 0, "1")]
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(folder))
+
+    def go():
+        q = pipeline.start(spark.readStream.schema(columns).parquet(str(folder)), config(tmp_path), schema, 1_704_067_200_000, str(tmp_path / "check"), trigger={"availableNow": True})
+        q.awaitTermination()
+
+    go()
+    from weirline.streaming.target import Target
+
+    target = Target(spark, f"{tmp_path}/tables/3/4", columns, schema.key, 4)
+    assert sorted(map(tuple, target.read().collect()), key=repr) == [(1, 1, "0"), (2, 0, None), (3, 0, "1")]
+    assert [n for n, _ in Store(spark, str(tmp_path)).folders("staging/c0/3/4") if n[0] != "_"] == ["null", "p0", "p1"]
+    spark.createDataFrame([(9, 5, bad), (9, 5, "0")], columns).coalesce(1).write.mode("append").parquet(str(folder))
+    with pytest.raises(Exception, match="path segment"):
+        go()
+    assert target.read().count() == 3 and not (tmp_path / "staging/x").exists()
+
+
 def test_a_batch_without_rows_moves_the_offset(spark, tmp_path):
     engine = Engine(spark, config(tmp_path))
     w, _ = engine.open_table("t", SCHEMA, "w-0")

@@ -38,6 +38,10 @@ class WriterFenced(EngineError):
 class StorageError(EngineError): ...
 
 
+class StagedFileLost(EngineError):
+    """A file that was staged is there no more: trying again can't help."""
+
+
 class StagingStalled(EngineError): ...
 
 

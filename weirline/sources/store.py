@@ -13,6 +13,12 @@ from pyspark.sql import SparkSession
 from ..errors import StorageError
 
 
+#: Schemes of file systems whose move fails where the target is (fixed values); the option by which Hadoop's stores write an
+#: object only where there is none (fixed value).
+MOVES_ONCE = ("hdfs", "viewfs", "webhdfs", "ofs", "abfs", "abfss")
+CONDITIONAL = "fs.option.create.conditional.overwrite"
+
+
 def normal_root(root: str) -> str:
     """A root without slashes at its end or doubled ones inside; the scheme's own stay."""
     scheme, sep, rest = root.partition("://")
@@ -106,7 +112,16 @@ class Store:
             raise StorageError(f"{key} could not be moved into place") from e
 
     def create(self, key: str, content: str) -> bool:
-        """The whole object, only where nothing is yet; whether it was written. Of several at once one succeeds."""
+        """The whole object, only where nothing is yet; whether it was written. Of several at once one succeeds.
+
+        Where the store writes an object only if there is none (S3 with conditional writes) it is asked to; on file systems a link or a move
+        that doesn't overwrite does it. On other object stores, where a move is a copy, it fails: two writers could both succeed.
+        """
+        how = self._exclusive()
+        if how == "conditional":
+            return self._create_if_none(key, content.encode())
+        if how is None:
+            raise StorageError(f"{self.root}: this store can't create an object only where there is none")
         beside, target = self._beside(key, content.encode()), self.path(key)
         try:
             if self._local:
@@ -125,6 +140,27 @@ class Store:
         finally:
             self._fs.delete(beside, False)
 
+    def _exclusive(self) -> str | None:
+        """How an object is created at most once: by a link or a move, by a condition, or not at all."""
+        if self._local or self._fs.getUri().getScheme() in MOVES_ONCE:
+            return "move"
+        return "conditional" if self._fs.hasPathCapability(self.path(""), CONDITIONAL) else None
+
+    def _create_if_none(self, key: str, data: bytes) -> bool:
+        """The store itself refuses the second of two at once, when the object is closed."""
+        target = self.path(key)
+        try:
+            out = self._fs.createFile(target).must(CONDITIONAL, True).recursive().build()
+            try:
+                out.write(bytearray(data))
+            finally:
+                out.close()
+            return True
+        except Py4JJavaError as e:
+            if self._fs.exists(target):
+                return False
+            raise StorageError(f"{key} could not be created") from e
+
     def get(self, key: str) -> str | None:
         """The object's text; None if there is none."""
         try:

@@ -21,11 +21,12 @@ from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Compression, Config, Mode, backoff
-from ..errors import ConfigError, DatabaseError, EngineError, InputError, RotationFailed, SchemaError, SerialContractViolation, StagingOrderViolation, StagingStalled, StorageError, WriterClosed, WriterFenced, worst
+from ..errors import ConfigError, DatabaseError, EngineError, InputError, RotationFailed, SchemaError, SerialContractViolation, StagedFileLost, StagingOrderViolation, StagingStalled, StorageError, WriterClosed, WriterFenced, worst
 from ..functions import naming
 from ..functions.csv_dialect import header_text
 from ..operators.tables import last_wins
@@ -168,6 +169,7 @@ class TableWriter:
         self.staged_offset: int | None = None
         self._top: int | None = None
         self._last_file: dict | None = None
+        self._resume: int | None = None
         self._lock, self._over, self._thread = threading.RLock(), threading.Event(), None
         now = engine.clock()
         self._due = {"heartbeat": now, "lag": now, "state": now, "gc": now}
@@ -182,6 +184,7 @@ class TableWriter:
                 raise ConfigError(f"the saved {name} is {state[name]!r}, not {mine!r}")
         if state.get("table", self.table) != self.table:
             log.info("table %s was renamed to %s", state["table"], self.table)
+        self._resume = state.get("resume_offset")
         watermark = self.target.applied(self.serial_group)
         # What a writer before this one committed and didn't move; the lease says that there is none beside it.
         self.sink.recover()
@@ -201,7 +204,9 @@ class TableWriter:
         return plan
 
     def _save_state(self, resume: int | None) -> None:
+        """resume only advances: the state may know of files that clean-up deleted."""
         self.lease.verify()
+        self._resume = resume = max((r for r in (resume, self._resume) if r is not None), default=None)
         self.store.put(self._state_key, json.dumps({"cluster_id": self.config.cluster_id, "db_id": self.schema.db_id, "writer_id": self.writer_id, "table": self.table, "max_epoch": self.epoch, "resume_offset": resume}))
 
     # -- health
@@ -337,15 +342,29 @@ class TableWriter:
     # -- loading
 
     def _load_staged(self) -> None:
-        """Load the staged files, the first one first; one that fails stops the writer and stays the first."""
+        """Load the staged files, the first one first. A store that doesn't answer is asked again, and the file stays the
+        first; a file that can't be loaded, a broken contract or a lost lease stop the writer."""
+        attempt = 0
         while self._staged:
             f = self._staged[0]
+            name = file_name(f)
             try:
                 self._announce(f)
+            except (StorageError, Py4JJavaError) as e:
+                attempt += 1
+                self.progress.failing, self.progress.attempts, self.progress.reason = name, self.progress.attempts + 1, str(e)[:500]
+                if attempt >= self.config.staging_error_after_attempts:
+                    raise StagingStalled(f"{name} could not be announced {self.progress.attempts} times; it is kept: {e}") from e
+                self.engine.sleep(backoff(attempt))
+                continue
             except EngineError as e:
+                self.progress.failing, self.progress.attempts, self.progress.reason = name, self.progress.attempts + 1, str(e)[:500]
                 if e not in self._status.errors:
                     self._fatal(e)
                 raise
+            attempt = 0
+            if self.progress.failing == name:
+                self.progress = Progress(self.progress.staged_offset)
             self._staged.popleft()
 
     def _announce(self, f: dict) -> None:
@@ -368,7 +387,7 @@ class TableWriter:
                 raise
             except Exception as e:
                 attempts += 1
-                if self.config.retry_max is not None and attempts > self.config.retry_max:
+                if isinstance(e, StagedFileLost) or self.config.retry_max is not None and attempts > self.config.retry_max:
                     self._book(serial, identifier, f, "FAIL", attempts)
                     raise DatabaseError(f"{file_name(f)} could not be loaded {attempts} times: {e}") from e
                 self.engine.sleep(backoff(attempts))
@@ -397,7 +416,7 @@ class TableWriter:
     def _load(self, f: dict, serial: int) -> None:
         key = f"{self.folder}/{file_name(f)}"
         if not self.store.exists(key):
-            raise StorageError(f"{key} was staged and is gone")
+            raise StagedFileLost(f"{key} was staged and is gone")
         rows = read_files(self.engine.spark, [self.store.uri(key)], self.schema.columns, self.config.delimiter).select(*self.schema.columns.names)
         put = self.target.upsert if self.mode is Mode.UPSERT else self.target.append
         self.lease.verify()
