@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from weirline.llm import secret_scan
 from weirline.llm._common import materialize
@@ -71,3 +73,34 @@ def test_everything_is_packed(stages):
     for r in stages[5].collect():
         bins[r.sequence_id] += r.length
     assert max(bins.values()) <= 4096 and len(bins) <= -(-sum(bins.values()) // 4096) + 1
+
+
+NAMES = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def chain(spark, docs):
+    """All stages but for writing between them; the rows after each."""
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        out[name] = docs.collect()
+    return out
+
+
+def test_stages_take_an_empty_table(spark):
+    out = chain(spark, spark.createDataFrame([], NAMES))
+    assert all(rows == [] for rows in out.values())
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark):
+    prose = "the house of the town and the garden of the house by the river in the valley"
+    rows = [(None, prose, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "123 !!", "en", "a", 6), (4, prose, "en", "a", 5), (4, prose, "en", "a", 5), (5, prose.upper(), None, "b", None), (6, "token = abcdef123456 and some words here", None, None, None)]
+    clashes = ["shard", "node", "k", "hit", "digest", "best", "rec", "lang_pred", "score", "length", "row", "size", "sequence_id"]
+    docs = spark.createDataFrame(rows, NAMES)
+    for c in clashes:
+        docs = docs.withColumn(c, F.lit("x"))
+    out = chain(spark, docs)
+    ids = {name: sorted((r["doc_id"] for r in rows), key=repr) for name, rows in out.items()}
+    assert ids == {"language": [4, 4, 5, 6, None], "exact": [5, 6], "near": [5, 6], "secrets": [5, 6], "pack": [5, 6]}
+    assert all(list(r.asDict()) == docs.columns for name in ("language", "exact", "near", "secrets") for r in out[name])
+    assert next(r for r in out["secrets"] if r["doc_id"] == 6)["text"].startswith("[REDACTED:assign]") and {r["lang"] for r in out["language"]} == {"en"}
