@@ -20,6 +20,7 @@ from ..operators.tables import last_wins
 from ..sources.sink import StagingSink
 from ..sources.store import Store
 from ..types import TableSchema
+from .lag import LagBoard
 
 LEDGER = "serial_group string, stream string, epoch_ms long, seq long, serial_seq long, identifier string, start_offset long, end_offset long, n_rows long, n_bytes long, object string, reason string, status string"
 
@@ -27,11 +28,11 @@ LEDGER = "serial_group string, stream string, epoch_ms long, seq long, serial_se
 class StagedStream:
     """Files of one table below `folder` of a store, and their ledger beside them."""
 
-    def __init__(self, store: Store, folder: str, schema: TableSchema, epoch_ms: int, upsert: bool = True, delimiter: str = ",", compressed: bool = True):
+    def __init__(self, store: Store, folder: str, schema: TableSchema, epoch_ms: int, upsert: bool = True, delimiter: str = ",", compressed: bool = True, board: LagBoard | None = None):
         schema.check(upsert)
         naming.encode(epoch_ms, 0)
         self.store, self.folder, self.schema, self.epoch_ms, self.upsert, self.delimiter, self.compressed = store, folder, schema, epoch_ms, upsert, delimiter, compressed
-        self.sink = StagingSink(store, folder)
+        self.sink, self.board = StagingSink(store, folder), board
 
     def page(self, batch_id: int) -> str:
         return f"{self.folder}/ledger/{batch_id:019d}.json"
@@ -64,6 +65,8 @@ class StagedStream:
             rows.append({"serial_group": group, "stream": stream, "epoch_ms": epoch, "seq": seq, "serial_seq": naming.encode(epoch, seq), "identifier": f"{group}:{epoch}:{seq}", "start_offset": start, "end_offset": end, "n_rows": f.n_rows, "n_bytes": f.n_bytes, "object": f.name, "reason": reason, "status": "READY"})
         # Where it is there already, it was this same micro-batch's.
         self.store.create(self.page(batch_id), "".join(json.dumps(r) + "\n" for r in rows))
+        if self.board is not None:
+            self.board.sealed(sorted((r["stream"], r["epoch_ms"], r["seq"]) for r in rows))
 
     def ledger(self, spark: SparkSession) -> DataFrame:
         """A row for each file that is durable."""
