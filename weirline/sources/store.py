@@ -13,9 +13,11 @@ from pyspark.sql import SparkSession
 from ..errors import StorageError
 
 
-#: Schemes of file systems whose move fails where the target is (fixed values); the option by which Hadoop's stores write an
+#: Schemes of file systems whose move fails where the target is, and of stores that write a new object only where there is
+#: none when they are told not to overwrite (fixed values); the option by which Hadoop's stores write an
 #: object only where there is none (fixed value).
 MOVES_ONCE = ("hdfs", "viewfs", "webhdfs", "ofs", "abfs", "abfss")
+NEW_ONCE = ("gs",)
 CONDITIONAL = "fs.option.create.conditional.overwrite"
 
 
@@ -118,8 +120,8 @@ class Store:
         that doesn't overwrite does it. On other object stores, where a move is a copy, it fails: two writers could both succeed.
         """
         how = self._exclusive()
-        if how == "conditional":
-            return self._create_if_none(key, content.encode())
+        if how in ("conditional", "new"):
+            return self._create_if_none(key, content.encode(), how)
         if how is None:
             raise StorageError(f"{self.root}: this store can't create an object only where there is none")
         beside, target = self._beside(key, content.encode()), self.path(key)
@@ -144,13 +146,15 @@ class Store:
         """How an object is created at most once: by a link or a move, by a condition, or not at all."""
         if self._local or self._fs.getUri().getScheme() in MOVES_ONCE:
             return "move"
+        if self._fs.getUri().getScheme() in NEW_ONCE:
+            return "new"
         return "conditional" if self._fs.hasPathCapability(self.path(""), CONDITIONAL) else None
 
-    def _create_if_none(self, key: str, data: bytes) -> bool:
+    def _create_if_none(self, key: str, data: bytes, how: str) -> bool:
         """The store itself refuses the second of two at once, when the object is closed."""
         target = self.path(key)
         try:
-            out = self._fs.createFile(target).must(CONDITIONAL, True).recursive().build()
+            out = self._fs.create(target, False) if how == "new" else self._fs.createFile(target).must(CONDITIONAL, True).recursive().build()
             try:
                 out.write(bytearray(data))
             finally:
