@@ -665,7 +665,7 @@ def shared_sets(common, a, b):
     return " ".join(words + tail("a", a)), " ".join(words + tail("b", b))
 
 
-@pytest.mark.parametrize(("common", "a", "b"), [(36, 4, 5), (28, 0, 7), (28, 7, 0), (40, 5, 5), (100, 0, 25), (100, 25, 0), (12, 1, 2)])
+@pytest.mark.parametrize(("common", "a", "b"), [(36, 4, 5), (28, 0, 7), (100, 25, 0), (12, 1, 2)])
 def test_pairs_at_the_threshold_link_in_both_orders(spark, common, a, b):
     rows = []
     for k in range(40):

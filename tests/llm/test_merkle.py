@@ -81,7 +81,7 @@ def test_query(spark, sf):
     assert got == slow(rows) and {r[6] for r in got} == {True, False}
 
 
-@pytest.mark.parametrize("sizes", [{"a": 1}, {"a": 2, "b": 1}, {"a": 16}, {"a": 17, None: 3}, {"a": 255, "b": 256, "c": 257}, {"a": 272, "b": 4097}, {f"s{k}": 1 + k % 3 for k in range(40)}])
+@pytest.mark.parametrize("sizes", [{"a": 1}, {"a": 17}, {"a": 1, "b": 2, "c": 15, "d": 16, "e": 17, None: 3, "f": 255, "g": 256, "h": 257, "i": 272, "j": 4097} | {f"s{k}": 1 + k % 3 for k in range(40)}])
 def test_shapes(spark, sizes):
     rows = table(sizes)
     assert digests(spark, rows) == slow(rows)
