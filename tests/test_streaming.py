@@ -350,6 +350,22 @@ def test_the_saved_offset_only_advances(spark, tmp_path):
     again.abandon()
 
 
+def test_a_writer_is_forgotten_but_not_its_files(spark, tmp_path):
+    engine = Engine(spark, config(tmp_path))
+    w, _ = engine.open_table("t", SCHEMA, "w-0")
+    w.append(batch(spark, (1, "a")), 0, 3)
+    w.flush()
+    w._save_state(99)
+    with pytest.raises(WriterLocked):
+        engine.forget_writer(SCHEMA, "w-0")
+    w.abandon()
+    assert engine.forget_writer(SCHEMA, "w-0") and not engine.forget_writer(SCHEMA, "w-0")
+    with pytest.raises(ConfigError):
+        engine.forget_writer(SCHEMA, "../w")
+    rows, plan, end = reopened(engine)
+    assert rows == [(1, "a")] and plan.next_offset == 4
+
+
 class Remote:
     """A store whose move is a copy: what Hadoop's S3 and others look like from here."""
 

@@ -145,6 +145,21 @@ class Engine:
             raise
 
 
+    def forget_writer(self, schema: TableSchema, writer_id: str) -> bool:
+        """Delete a writer's saved state, for an operator who gives its identity up or has it start from its files alone; whether there
+        was one. Only while no writer holds the lease; staged files, jobs and the table stay."""
+        naming.check_segment(writer_id, writer=True)
+        c = self.config
+        meta = f"staging/{c.cluster_id}/{schema.db_id}/{schema.rel_id}/{writer_id}/_meta"
+        lease = Lease(self.store, f"{meta}/lease.json", c.lock_lease_timeout, self.clock, c.lock_settle, c.lock_wait, sleep=self.sleep)
+        lease.acquire()
+        try:
+            there = self.store.exists(f"{meta}/state.json")
+            return there and self.store.delete(f"{meta}/state.json")
+        finally:
+            lease.release()
+
+
 class TableWriter:
     def __init__(self, engine: Engine, table: str, schema: TableSchema, writer_id: str, mode: Mode):
         naming.check_segment(writer_id, writer=True)
