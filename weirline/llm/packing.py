@@ -34,7 +34,7 @@ CAPACITY, CLOSE = 4096, 1
 #: Weights of the residual tokens, documents and cost, and the rule that selects bins.
 WEIGHTS, RULE = (1.0, 0.05, 0.05), "norm"
 #: Words whose ids a worker remembers; it forgets all when there are more.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 #: Longest word that is remembered.
 CACHE_CHARS = 64
 
